@@ -16,7 +16,7 @@ from smeltery.operators.audit import row_counts
 from smeltery.operators.quality import required_columns_report
 from smeltery.plans import batches, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
-from smeltery.schemas import MARTS, SOURCE_SYSTEM, TABLES, customers_without_city, raw_schema
+from smeltery.schemas import MARTS, SOURCE_SYSTEM, SOURCE_SYSTEMS, TABLES, customers_without_city, raw_schema
 from smeltery.session import new_folder
 from smeltery.sources import external, files
 from smeltery.sources.folders import Zones
@@ -35,18 +35,18 @@ def _loaded() -> Column:
 # --- layers over the mapped tables -------------------------------------------------------
 
 
-def _bronze(spark, sf_dir, change=None):
-    raw = adapter.raw(spark, sf_dir)
-    return to_bronze(change(raw) if change else raw, _loaded())
+def _bronze(spark, sf_dir, *tables):
+    return to_bronze(adapter.raw(spark, sf_dir, *tables), _loaded())
 
 
 def _silver(spark, sf_dir, change=None, missing=None):
-    silver = to_silver(_bronze(spark, sf_dir, change))
+    raw = adapter.raw(spark, sf_dir)
+    silver = to_silver(to_bronze(change(raw) if change else raw, _loaded()))
     return {name: None if name == missing else df for name, df in silver.items()}
 
 
 def _bronze_table(name) -> Query:
-    return lambda spark, sf_dir: _bronze(spark, sf_dir)[name]
+    return lambda spark, sf_dir: _bronze(spark, sf_dir, name)[name]
 
 
 def _silver_table(name) -> Query:
@@ -93,7 +93,7 @@ def item_line_totals(spark, sf_dir):
 
 
 def order_day_folders(spark, sf_dir):
-    orders = adapter.raw(spark, sf_dir)["orders"]
+    orders = adapter.raw(spark, sf_dir, "orders")["orders"]
     return orders.select(
         "order_id",
         F.concat(F.lit("raw/raw_orders/"), day_folder(F.col("order_date"))).alias("folder"),
@@ -105,7 +105,7 @@ def order_day_folders(spark, sf_dir):
 
 
 def _raw_files(spark, sf_dir, table):
-    return adapter.as_raw_files(table, adapter.raw(spark, sf_dir)[table])
+    return adapter.as_raw_files(table, adapter.raw(spark, sf_dir, table)[table])
 
 
 def _round_trip(table, fmt) -> Query:
@@ -269,8 +269,8 @@ def id_high_water(spark, sf_dir):
 
 
 def _rows(spark, sf_dir) -> dict[str, int]:
-    counted = row_counts(adapter.raw(spark, sf_dir)).collect()
-    return dict(zip(adapter.raw(spark, sf_dir), (row["row_count"] for row in counted), strict=True))
+    tables = {label: name for name, label in SOURCE_SYSTEMS.items()}
+    return {tables[label]: n for label, n in row_counts(adapter.raw(spark, sf_dir)).collect()}
 
 
 def _allocation(spark, sf_dir) -> batches.Allocation:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -22,6 +24,13 @@ def read_raw(spark: SparkSession, zones: Zones, run_date: dt.date | str) -> dict
     return raw
 
 
+def together(write_one: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+    """Write independent tables at the same time, so that small ones fill idle slots."""
+    names = list(names)
+    with ThreadPoolExecutor(len(names)) as pool:
+        return dict(zip(names, pool.map(write_one, names), strict=True))
+
+
 def run_bronze(
     spark: SparkSession, zones: Zones, run_date: dt.date | str,
     ingested_at: Column | None = None, layer_format: str = "parquet",
@@ -29,19 +38,20 @@ def run_bronze(
     """Returns the rows written per source label, counted while writing."""
     with tuned(spark, *(zones.raw_day(name, run_date) for name in TABLES)):
         bronze = to_bronze(read_raw(spark, zones, run_date), ingested_at)
-        return {
-            SOURCE_SYSTEMS[name]: write_counted(df, zones.bronze_table(name, run_date), layer_format)
-            for name, df in bronze.items()
-        }
+        written = together(
+            lambda name: write_counted(bronze[name], zones.bronze_table(name, run_date), layer_format), bronze
+        )
+        return {SOURCE_SYSTEMS[name]: rows for name, rows in written.items()}
 
 
 def run_silver(spark: SparkSession, zones: Zones, run_date: dt.date | str, layer_format: str = "parquet") -> None:
     """All four bronze tables must be there."""
     folders = {name: zones.bronze_table(name, run_date) for name in TABLES}
     with tuned(spark, *folders.values()):
-        bronze = {name: scan(spark, folder, bronze_schema(name), layer_format) for name, folder in folders.items()}
-        for name, df in to_silver(bronze).items():
-            write(df, zones.silver_table(name, run_date), layer_format)
+        silver = to_silver(
+            {name: scan(spark, folder, bronze_schema(name), layer_format) for name, folder in folders.items()}
+        )
+        together(lambda name: write(silver[name], zones.silver_table(name, run_date), layer_format), silver)
 
 
 def run_gold(
@@ -54,11 +64,11 @@ def run_gold(
     all outputs, so no join runs twice and a lost executor costs no recomputed joins.
     """
     folders = {name: zones.silver_table(name, run_date) for name in TABLES}
+    silver = {name: scan_optional(spark, folder, silver_schema(name), layer_format) for name, folder in folders.items()}
     work = job_folder(spark, f"gold-{day(run_date)}", zones.gold)
-    with tuned(spark, *folders.values()):
-        silver = {name: scan_optional(spark, folder, silver_schema(name), layer_format) for name, folder in folders.items()}
+    with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)):
         gold = to_gold(silver, keys_unique=keys_unique, stage=lambda name, df: staged(df, f"{work}/{name}"))
-        return {name: write_optional(df, zones.gold_table(name, run_date), gold_format) for name, df in gold.items()}
+        return together(lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold)
 
 
 def run_day(

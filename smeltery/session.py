@@ -9,14 +9,16 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 # forceOptimizeSkewedJoin lets a hot key be split even where that costs one more
 # shuffle: the two joins on order_id share a partitioning, and without it a hot order
 # would keep the whole first join in one task.
+# Broadcasts are chosen by file size; the factor accounts for compressed columns growing
+# in memory, so that only sides that really are small qualify.
 _ADAPTIVE = {
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -30,17 +32,11 @@ _SCAN_TASKS_TARGET = 100_000
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
-    """Bytes under the given folders, from file listings alone; missing folders count 0."""
-    total = 0
-    for path in paths:
-        try:
-            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        total += files.agg(F.sum("length")).first()[0] or 0
-    return total
+    """Bytes under the given files and folders, from listings alone."""
+    if not paths:
+        return 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
 def sizing(input_bytes: int, slots: int) -> dict[str, str]:
