@@ -148,8 +148,9 @@ def csv_header_variants(spark, sf_dir):
 def _landed(spark, sf_dir) -> Zones:
     """Raw day folders as a feed would deliver them."""
     zones = Zones.under(new_folder(spark, "zones"))
-    for table in TABLES:
-        files.append(_raw_files(spark, sf_dir, table), zones.raw_day(table, RUN_DATE))
+    jobs.together(
+        lambda table: files.append(_raw_files(spark, sf_dir, table), zones.raw_day(table, RUN_DATE)), TABLES
+    )
     return zones
 
 

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import SOURCE_SYSTEMS, TABLES, bronze_schema, customers_without_city, raw_schema, silver_schema
 from smeltery.session import job_folder, tuned
-from smeltery.sources.files import scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional
+from smeltery.sources.files import (
+    release, scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional,
+)
 from smeltery.sources.folders import Zones, day
 
 
@@ -27,7 +29,7 @@ def read_raw(spark: SparkSession, zones: Zones, run_date: dt.date | str) -> dict
 def together(write_one: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
     """Write independent tables at the same time, so that small ones fill idle slots."""
     names = list(names)
-    with ThreadPoolExecutor(len(names)) as pool:
+    with ThreadPoolExecutor(max(len(names), 1)) as pool:
         return dict(zip(names, pool.map(write_one, names), strict=True))
 
 
@@ -66,9 +68,17 @@ def run_gold(
     folders = {name: zones.silver_table(name, run_date) for name in TABLES}
     silver = {name: scan_optional(spark, folder, silver_schema(name), layer_format) for name, folder in folders.items()}
     work = job_folder(spark, f"gold-{day(run_date)}", zones.gold)
+    shared = {}
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        shared[name] = staged(df, f"{work}/{name}")
+        return shared[name]
+
     with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)):
-        gold = to_gold(silver, keys_unique=keys_unique, stage=lambda name, df: staged(df, f"{work}/{name}"))
-        return together(lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold)
+        gold = to_gold(silver, keys_unique=keys_unique, stage=stage)
+        written = together(lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold)
+        together(lambda name: release(shared[name], f"{work}/{name}"), shared)
+        return written
 
 
 def run_day(

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -80,16 +81,19 @@ def tuned(spark: SparkSession, *input_paths: str) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+@cache
+def _test_folder() -> str:
+    return tempfile.mkdtemp(prefix="smeltery-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="smeltery-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _test_folder()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
@@ -97,6 +101,6 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def job_folder(spark: SparkSession, purpose: str, owner: str) -> str:
-    """A folder that re-runs of the same job replace, so staged tables do not pile up."""
+    """A folder that re-runs of the same job find again and replace."""
     mark = hashlib.md5(owner.encode()).hexdigest()[:12]
     return f"{shared_folder(spark)}/smeltery/{purpose}-{mark}"

@@ -103,3 +103,8 @@ def staged(df: DataFrame, folder: str) -> DataFrame:
     """Write ``df`` once and hand back the written table, which cuts its lineage."""
     write(df, folder, "parquet")
     return scan(df.sparkSession, folder, df.schema, "parquet")
+
+
+def release(stored: DataFrame, folder: str) -> None:
+    """Free the space of a staged table once its readers are done."""
+    write(stored.sparkSession.createDataFrame([], stored.schema), folder, "parquet")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from smeltery.schemas import MARTS
@@ -29,6 +30,12 @@ class Zones:
         root = root.rstrip("/")
         return cls(*(f"{root}/{zone}_landing_zone" for zone in ("raw", "bronze", "silver", "gold")))
 
+    @classmethod
+    def from_config(cls, paths: Mapping[str, str]) -> Zones:
+        """From the ``paths`` section of a pipeline config."""
+        keys = ("output_folder", "bronze_folder", "silver_folder", "gold_folder")
+        return cls(*(paths[key].rstrip("/") for key in keys))
+
     def raw_day(self, table: str, run_date: dt.date | str) -> str:
         return f"{self.raw}/raw_{table}/{day(run_date)}"
 

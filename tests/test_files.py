@@ -116,6 +116,18 @@ def test_staged_table_is_a_plain_scan(spark, fixture_tables, tmp_path):
     assert "Join" not in stored._jdf.queryExecution().toString()
 
 
+def test_released_table_takes_no_rows(spark, tmp_path):
+    folder = str(tmp_path / "staged")
+    stored = files.staged(spark.range(100), folder)
+    files.release(stored, folder)
+    assert files.scan(spark, folder, stored.schema, "parquet").count() == 0
+
+
+def test_zones_from_config():
+    paths = {"output_folder": "s3://a/raw/", "bronze_folder": "s3://a/b", "silver_folder": "s3://a/s", "gold_folder": "s3://a/g"}
+    assert Zones.from_config(paths) == Zones("s3://a/raw", "s3://a/b", "s3://a/s", "s3://a/g")
+
+
 def test_folders():
     zones = Zones.under("gs://shop/data/")
     assert zones.raw_day("orders", "2025-02-20") == "gs://shop/data/raw_landing_zone/raw_orders/20250220"
