@@ -1,8 +1,9 @@
-"""Folder scans and sinks for CSV and Parquet.
+"""Folder scans and sinks for CSV, Parquet and JSON.
 
-All schemas are declared: no inference pass over the data, stable types for header-only
-files, and a value that does not parse becomes NULL (and is dropped by the gates) instead
-of turning its column into text.
+CSV types are declared by column name, never inferred: no inference pass over the data,
+stable types for header-only files, and a value that does not parse becomes NULL (and is
+dropped by the gates) instead of turning its column into text. Which columns there are is
+up to the files, so that a column the feed forgot is seen to be missing.
 """
 
 from __future__ import annotations
@@ -17,18 +18,30 @@ from pyspark.sql import types as T
 _UNPARSED = "_unparsed_line"
 
 
-def scan(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
-    """All files of one folder as one table, duplicates kept. A missing folder raises.
+def _header(spark: SparkSession, folder: str) -> list[str]:
+    """Column names in the first line of one of the folder's CSV files; nothing else is read."""
+    return spark.read.option("header", True).csv(f"{folder}/*.csv").columns
 
-    CSV columns are matched by position. A CSV folder without any ``*.csv`` raises too.
-    """
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        return reader.option("header", True).csv(f"{folder}/*.csv")
-    return reader.format(fmt).load(folder)
 
+def scan(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame:
+    """All files of one folder as one table, duplicates kept. A missing folder raises.
 
-def scan_optional(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "csv") -> DataFrame | None:
+    ``schema`` gives the CSV and JSON types by column name; CSV columns it does not name are
+    text. CSV files whose headers differ from each other raise when read, and so does a
+    folder without any ``*.csv``. Parquet files bring their own types.
+    """
+    if fmt == "parquet":
+        return spark.read.parquet(folder)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(folder)
+    types = {f.name.lower(): f.dataType for f in schema}
+    typed = [T.StructField(name, types.get(name.lower(), T.StringType())) for name in _header(spark, folder)]
+    reader = spark.read.schema(T.StructType(typed)).option("header", True).option("enforceSchema", False)
+    return reader.csv(f"{folder}/*.csv")
+
+
+def scan_optional(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame | None:
     """Like :func:`scan`, but None where there is nothing to read. Other errors still raise."""
     try:
         return scan(spark, folder, schema, fmt)
@@ -45,8 +58,11 @@ def scan_csv_variants(
 
     Lines that do not fill ``schema`` are parsed again with each narrower variant in turn,
     and the columns a variant lacks are NULL. Lines that fit no variant stay as read.
-    Variants must differ in their number of columns.
+    Variants must differ in their number of columns. A folder with some other header is
+    scanned as it is.
     """
+    if _header(spark, folder) not in [schema.names, *(variant.names for variant in narrower)]:
+        return scan(spark, folder, schema)
     whole = T.StructType([*schema.fields, T.StructField(_UNPARSED, T.StringType())])
     lines = (
         spark.read.schema(whole).option("header", True)
@@ -102,7 +118,7 @@ def append(df: DataFrame, folder: str, fmt: str = "csv") -> None:
 def staged(df: DataFrame, folder: str) -> DataFrame:
     """Write ``df`` once and hand back the written table, which cuts its lineage."""
     write(df, folder, "parquet")
-    return scan(df.sparkSession, folder, df.schema, "parquet")
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def release(stored: DataFrame, folder: str) -> None:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from smeltery.plans import batches
+from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import TABLES, raw_schema
 from smeltery.sources import files
 from smeltery.sources.folders import Zones
@@ -116,3 +117,10 @@ def test_marks_from_one_json_object(spark, tmp_path):
     marks = batches.marks_from_json(spark, str(tmp_path / "tracker.json"))
     assert rows_of(marks) == [("customers", 35000), ("orders", 30000)]
     assert batches.allocate(marks, 1).first == {"customers": 35001, "products": 10001, "orders": 30001, "order_items": 10001}
+
+
+def test_a_default_batch_gives_the_expected_share_of_gold_orders(spark):
+    """5000 orders over 30000 customer ids, 5000 of them delivered, 3 of 4 statuses active: 625 expected."""
+    marks = spark.createDataFrame([(name, 25000) for name in TABLES], batches.MARKS_SCHEMA)
+    raw = batches.batch(spark, batches.allocate(marks), DAY)
+    assert 530 < to_gold(to_silver(to_bronze(raw)))["orders"].count() < 720

@@ -115,6 +115,29 @@ def test_gold_with_missing_tables(spark, fixture_tables, tmp_path, missing, writ
             assert rows_of(files.scan(spark, zones.gold_table(name, DAY), df.schema)) == rows_of(df)
 
 
+@pytest.mark.parametrize("table,column", [
+    ("orders", "customer_id"), ("customers", "customer_id"), ("order_items", "order_id"), ("orders", "order_id"),
+])
+@pytest.mark.parametrize("layer_format", ["csv", "parquet"])
+def test_feed_without_a_required_column(spark, fixture_tables, tmp_path, table, column, layer_format):
+    zones = Zones.under(str(tmp_path))
+    for name, df in fixture_tables.items():
+        files.append(df.drop("timestamp", *([column] if name == table else [])), zones.raw_day(name, DAY))
+    jobs.run_bronze(spark, zones, DAY, layer_format=layer_format)
+    with pytest.raises(ValueError, match=f"Required column '{column}' missing"):
+        jobs.run_silver(spark, zones, DAY, layer_format)
+
+
+def test_feed_without_a_gated_column(spark, fixture_tables, tmp_path):
+    zones = Zones.under(str(tmp_path))
+    for name, df in fixture_tables.items():
+        files.append(df.drop("timestamp", "total_amount"), zones.raw_day(name, DAY))
+    jobs.run_bronze(spark, zones, DAY)
+    with pytest.raises(AnalysisException) as raised:
+        jobs.run_silver(spark, zones, DAY)
+    assert raised.value.getCondition().startswith("UNRESOLVED_COLUMN")
+
+
 def test_days_do_not_mix(spark, landed, tmp_path):
     own = Zones.under(str(tmp_path))
     zones = Zones(landed.raw, own.bronze, own.silver, own.gold)
