@@ -41,71 +41,49 @@ def prepare(spark: SparkSession, sf_dir: str) -> SparkSession:
     return tune(spark, _sizes[sf_dir])
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("full_name"),
-        F.concat(F.lit("customer"), F.col("c_custkey"), F.lit("@example.com")).alias("email"),
-        F.concat(F.col("c_nationkey"), F.lit(" Main St")).alias("address"),
-        F.concat(F.lit("City "), F.col("c_nationkey")).alias("city"),
-        F.col("c_mktsegment").alias("state"),
-    )
-
-
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.when(F.col("p_size") <= 3, 0.0)
-        .when(F.col("p_size") <= 6, -F.col("p_retailprice"))
-        .when(F.col("p_size") <= 9, None)
-        .otherwise(F.col("p_retailprice")).alias("price"),
-    )
-
-
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total = F.col("o_totalprice")
-    return given(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.when(F.col("o_orderpriority") == "5-LOW", -1 - F.col("o_custkey"))
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", None)
-        .otherwise(F.col("o_custkey")).alias("customer_id"),
-        F.when(total < 20000, 0.0).when(total < 40000, -total).when(total < 60000, None)
-        .otherwise(total).alias("total_amount"),
-        F.when(total > 450000, None)
-        .when(F.col("o_orderstatus") == "F", "CANCELLED")
-        .when(F.col("o_orderstatus") == "O", "PENDING")
-        .otherwise("SHIPPED").alias("order_status"),
-    )
-
-
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice")
-    return given(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), -1 - F.col("l_partkey"))
-        .otherwise(F.col("l_partkey")).alias("product_id"),
-        F.when(F.col("l_quantity") < 3, 0).otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
-        F.when(price < 3000, 0.0).when(price < 5000, -price).when(price < 7000, None)
-        .otherwise(price).alias("unit_price"),
-    )
-
-
+# One select list per entity.
 _ENTITIES = {
-    "customers": raw_customers,
-    "products": raw_products,
-    "orders": raw_orders,
-    "order_items": raw_order_items,
+    "customers": ("customer", (
+        "c_custkey AS customer_id",
+        "c_name AS full_name",
+        "concat('customer', c_custkey, '@example.com') AS email",
+        "concat(c_nationkey, ' Main St') AS address",
+        "concat('City ', c_nationkey) AS city",
+        "c_mktsegment AS state",
+    )),
+    "products": ("part", (
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "CASE WHEN p_size <= 3 THEN 0D WHEN p_size <= 6 THEN -p_retailprice WHEN p_size <= 9 THEN NULL "
+        "ELSE p_retailprice END AS price",
+    )),
+    "orders": ("orders", (
+        "o_orderkey AS order_id",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        "CASE o_orderpriority WHEN '5-LOW' THEN -1 - o_custkey WHEN '4-NOT SPECIFIED' THEN NULL "
+        "ELSE o_custkey END AS customer_id",
+        "CASE WHEN o_totalprice < 20000 THEN 0D WHEN o_totalprice < 40000 THEN -o_totalprice "
+        "WHEN o_totalprice < 60000 THEN NULL ELSE o_totalprice END AS total_amount",
+        "CASE WHEN o_totalprice > 450000 THEN NULL WHEN o_orderstatus = 'F' THEN 'CANCELLED' "
+        "WHEN o_orderstatus = 'O' THEN 'PENDING' ELSE 'SHIPPED' END AS order_status",
+    )),
+    "order_items": ("lineitem", (
+        "l_orderkey * 10 + l_linenumber AS order_item_id",
+        "l_orderkey AS order_id",
+        "IF(l_returnflag = 'R' AND l_linestatus = 'F', -1 - l_partkey, l_partkey) AS product_id",
+        "IF(l_quantity < 3, 0, CAST(l_quantity AS INT)) AS quantity",
+        "CASE WHEN l_extendedprice < 3000 THEN 0D WHEN l_extendedprice < 5000 THEN -l_extendedprice "
+        "WHEN l_extendedprice < 7000 THEN NULL ELSE l_extendedprice END AS unit_price",
+    )),
 }
 
 
 def raw(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
     """The named raw tables, or all four."""
     prepare(spark, sf_dir)
-    return {name: _ENTITIES[name](spark, sf_dir) for name in tables or _ENTITIES}
+    entities = {name: _ENTITIES[name] for name in tables or _ENTITIES}
+    return {name: given(spark, sf_dir, source).selectExpr(*columns) for name, (source, columns) in entities.items()}
 
 
 def with_repeated_customers(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -149,7 +149,7 @@ def _landed(spark, sf_dir) -> Zones:
     """Raw day folders as a feed would deliver them."""
     zones = Zones.under(new_folder(spark, "zones"))
     jobs.together(
-        lambda table: files.append(_raw_files(spark, sf_dir, table), zones.raw_day(table, RUN_DATE)), TABLES
+        spark, lambda table: files.append(_raw_files(spark, sf_dir, table), zones.raw_day(table, RUN_DATE)), TABLES
     )
     return zones
 

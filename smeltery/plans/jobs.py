@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
@@ -26,11 +27,11 @@ def read_raw(spark: SparkSession, zones: Zones, run_date: dt.date | str) -> dict
     return raw
 
 
-def together(write_one: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+def together(spark: SparkSession, write_one: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
     """Write independent tables at the same time, so that small ones fill idle slots."""
     names = list(names)
     with ThreadPoolExecutor(max(len(names), 1)) as pool:
-        return dict(zip(names, pool.map(write_one, names), strict=True))
+        return dict(zip(names, pool.map(inheritable_thread_target(spark)(write_one), names), strict=True))
 
 
 def run_bronze(
@@ -41,7 +42,7 @@ def run_bronze(
     with tuned(spark, *(zones.raw_day(name, run_date) for name in TABLES)):
         bronze = to_bronze(read_raw(spark, zones, run_date), ingested_at)
         written = together(
-            lambda name: write_counted(bronze[name], zones.bronze_table(name, run_date), layer_format), bronze
+            spark, lambda name: write_counted(bronze[name], zones.bronze_table(name, run_date), layer_format), bronze
         )
         return {SOURCE_SYSTEMS[name]: rows for name, rows in written.items()}
 
@@ -53,7 +54,7 @@ def run_silver(spark: SparkSession, zones: Zones, run_date: dt.date | str, layer
         silver = to_silver(
             {name: scan(spark, folder, bronze_schema(name), layer_format) for name, folder in folders.items()}
         )
-        together(lambda name: write(silver[name], zones.silver_table(name, run_date), layer_format), silver)
+        together(spark, lambda name: write(silver[name], zones.silver_table(name, run_date), layer_format), silver)
 
 
 def run_gold(
@@ -76,8 +77,10 @@ def run_gold(
 
     with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)):
         gold = to_gold(silver, keys_unique=keys_unique, stage=stage)
-        written = together(lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold)
-        together(lambda name: release(shared[name], f"{work}/{name}"), shared)
+        written = together(
+            spark, lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold
+        )
+        together(spark, lambda name: release(shared[name], f"{work}/{name}"), shared)
         return written
 
 

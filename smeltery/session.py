@@ -11,55 +11,58 @@ from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 # forceOptimizeSkewedJoin lets a hot key be split even where that costs one more
 # shuffle: the two joins on order_id share a partitioning, and without it a hot order
 # would keep the whole first join in one task.
-# Broadcasts are chosen by file size; the factor accounts for compressed columns growing
+# Broadcasts are chosen by file size; the compression factor accounts for columns growing
 # in memory, so that only sides that really are small qualify.
-_ADAPTIVE = {
-    "spark.sql.sources.fileCompressionFactor": "3.0",
+# The ceiling on scan tasks makes tasks of huge inputs read more, not the driver plan more.
+_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    "spark.sql.files.maxPartitionNum": "100000",
 }
 
-_MB = 1024 * 1024
-_SHUFFLE_TARGET = 256 * _MB
+_SHUFFLE_TARGET = 256 * 1024 * 1024
 _MAX_SHUFFLE_PARTITIONS = 32_768
-_SCAN_TASKS_TARGET = 100_000
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
-    """Bytes under the given files and folders, from listings alone."""
-    if not paths:
-        return 0
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-    return files.agg(F.sum("length")).first()[0] or 0
-
-
-def sizing(input_bytes: int, slots: int) -> dict[str, str]:
-    """Shuffle and scan settings for an input of this size on this many task slots.
-
-    Compressed columns grow about threefold in a shuffle. Beyond the partition ceiling
-    partitions grow and spill instead, which is cheaper than ever smaller shuffle blocks.
+    """Bytes under the given files and folders, as the file system sums them up; no job runs."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    total = 0
+    for path in paths:
+        at = hadoop.Path(path)
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(at):
+            total += fs.getContentSummary(at).getLength()
+    return total
+
+
+def shuffle_partitions(input_bytes: int, slots: int) -> int:
+    """Partitions for shuffles of an input of this size on this many task slots.
+
+    Compressed columns grow about threefold in a shuffle. Beyond the ceiling partitions grow
+    and spill instead, which is cheaper than ever smaller shuffle blocks.
     """
     wanted = math.ceil(3 * input_bytes / _SHUFFLE_TARGET)
-    split = min(max(input_bytes // _SCAN_TASKS_TARGET, 128 * _MB), 1024 * _MB)
-    return {
-        "spark.sql.shuffle.partitions": str(min(max(wanted, slots), _MAX_SHUFFLE_PARTITIONS)),
-        "spark.sql.files.maxPartitionBytes": str(split),
-    }
+    return min(max(wanted, slots), _MAX_SHUFFLE_PARTITIONS)
+
+
+def _settings(spark: SparkSession, input_bytes: int | None) -> dict[str, str]:
+    if input_bytes is None:
+        return _SETTINGS
+    partitions = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+    return _SETTINGS | {"spark.sql.shuffle.partitions": str(partitions)}
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Turn on adaptive skew handling; with a size, fit shuffles and scans to it too."""
-    settings = dict(_ADAPTIVE)
-    if input_bytes is not None:
-        settings |= sizing(input_bytes, spark.sparkContext.defaultParallelism)
-    for key, value in settings.items():
+    """Turn on adaptive skew handling; with an input size, fit the shuffles to it too."""
+    for key, value in _settings(spark, input_bytes).items():
         spark.conf.set(key, value)
     return spark
 
@@ -67,11 +70,10 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
 @contextmanager
 def tuned(spark: SparkSession, *input_paths: str) -> Iterator[None]:
     """Apply :func:`tune` for the data under these folders while a job runs."""
-    settings = _ADAPTIVE | sizing(stored_bytes(spark, *input_paths), spark.sparkContext.defaultParallelism)
-    before = {key: spark.conf.get(key, None) for key in settings}
+    size = stored_bytes(spark, *input_paths)
+    before = {key: spark.conf.get(key, None) for key in _settings(spark, size)}
     try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+        tune(spark, size)
         yield
     finally:
         for key, value in before.items():

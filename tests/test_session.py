@@ -1,20 +1,23 @@
+from types import SimpleNamespace
+
 import pytest
-from pyspark.sql import SparkSession
 
 from smeltery import session
 
-MB = 1024 * 1024
-SHUFFLE, SCAN = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+SHUFFLE, SCAN = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionNum"
+
+
+@pytest.mark.parametrize("stored,slots,partitions", [(0, 8, 8), (10**9, 8, 12), (10**12, 4000, 11176), (10**14, 4000, 32768)])
+def test_shuffle_partitions(stored, slots, partitions):
+    assert session.shuffle_partitions(stored, slots) == partitions
 
 
-@pytest.mark.parametrize("stored,slots,shuffle,scan", [
-    (0, 8, 8, 128 * MB),
-    (10**9, 8, 12, 128 * MB),
-    (10**12, 4000, 11176, 128 * MB),
-    (10**14, 4000, 32768, 10**9),
-])
-def test_sizing(stored, slots, shuffle, scan):
-    assert session.sizing(stored, slots) == {SHUFFLE: str(shuffle), SCAN: str(scan)}
+def test_scan_tasks_have_a_ceiling(spark, tmp_path):
+    spark.range(0, 1000, 1, 20).write.parquet(str(tmp_path / "many"))
+    before = spark.conf.get(SCAN)
+    spark.conf.set(SCAN, "2")
+    assert spark.read.parquet(str(tmp_path / "many")).rdd.getNumPartitions() <= 3
+    spark.conf.set(SCAN, before)
 
 
 def test_stored_bytes(spark, tmp_path):
@@ -23,7 +26,8 @@ def test_stored_bytes(spark, tmp_path):
     (tmp_path / "a" / "deep").mkdir()
     (tmp_path / "a" / "deep" / "y.csv").write_bytes(b"123")
     (tmp_path / "b.csv").write_bytes(b"1")
-    assert session.stored_bytes(spark, str(tmp_path / "a"), str(tmp_path / "b.csv")) == 9
+    paths = [str(tmp_path / name) for name in ("a", "b.csv", "missing")]
+    assert session.stored_bytes(spark, *paths) == 9
     assert session.stored_bytes(spark) == 0
 
 
@@ -50,17 +54,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.job_folder(spark, "x", "gs://a") != session.job_folder(spark, "x", "gs://b")
 
 
-class _Cluster:
-    """A session on a cluster that names no shared folder."""
-
-    class conf:
-        get = staticmethod(lambda key, default: default)
-
-    class sparkContext:
-        master = "yarn"
+def unnamed(master):
+    """A session that names no shared folder."""
+    return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
 
 
 def test_no_local_folder_on_a_cluster():
-    assert not isinstance(_Cluster, SparkSession)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(_Cluster)
+        session.shared_folder(unnamed("yarn"))
+    assert session.shared_folder(unnamed("local[2]")) == session.shared_folder(unnamed("local[2]"))
