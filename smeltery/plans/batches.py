@@ -129,14 +129,15 @@ def run_batch(
     spark: SparkSession, zones: Zones, run_date: dt.date | str, marks_folder: str,
     rows: int | Mapping[str, int] = ROWS_PER_TABLE, seed: int = 0,
 ) -> Allocation:
-    """Append one generated batch to the raw day folders, then record the new marks.
+    """Append one generated batch to the raw day folders.
 
-    Marks are only ever appended and the highest counts, so a crash never loses one.
+    A table's mark is appended once the table is written, and the highest mark counts: a
+    failed run leaves no gap, and a repeated one does not hand out written ids again.
     """
     run_date = as_run_date(run_date)
     marks = scan_optional(spark, marks_folder, MARKS_SCHEMA, "json")
     allocation = allocate(marks, rows)
     for table, df in batch(spark, allocation, run_date, seed).items():
         append(df, zones.raw_day(table, run_date))
-    append(spark.createDataFrame(list(allocation.last.items()), MARKS_SCHEMA).coalesce(1), marks_folder, "json")
+        append(spark.createDataFrame([(table, allocation.last[table])], MARKS_SCHEMA).coalesce(1), marks_folder, "json")
     return allocation

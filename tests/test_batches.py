@@ -104,12 +104,18 @@ def test_batches_continue_from_the_marks(spark, tmp_path):
     assert orders.count() == orders.select("order_id").distinct().count() == 20
 
 
-def test_failed_write_leaves_the_marks(spark, tmp_path):
-    marks = str(tmp_path / "marks")
-    (tmp_path / "raw_landing_zone").write_text("a file where the folder should go")
+def test_failed_run_can_be_repeated(spark, tmp_path):
+    zones, marks = Zones.under(str(tmp_path)), str(tmp_path / "marks")
+    blocked = tmp_path / "raw_landing_zone" / "raw_orders"
+    blocked.parent.mkdir()
+    blocked.write_text("a file where the folder should go")
     with pytest.raises(Exception):
-        batches.run_batch(spark, Zones.under(str(tmp_path)), "2025-02-20", marks, 10)
-    assert files.scan_optional(spark, marks, batches.MARKS_SCHEMA, "json") is None
+        batches.run_batch(spark, zones, "2025-02-20", marks, 10)
+    found = batches.high_water(files.scan(spark, marks, batches.MARKS_SCHEMA, "json"))
+    assert rows_of(found) == [("customers", 10010), ("products", 10010)]
+    blocked.unlink()
+    again = batches.run_batch(spark, zones, "2025-02-20", marks, 10)
+    assert again.first == {"customers": 10011, "products": 10011, "orders": 10001, "order_items": 10001}
 
 
 def test_marks_from_one_json_object(spark, tmp_path):
