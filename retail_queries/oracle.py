@@ -88,7 +88,9 @@ _LAYERS = {
         WHERE oi.quantity > 0 AND oi.unit_price > 0""",
 }
 
-_WITHOUT_CUSTOMERS = {"valid_orders": "SELECT order_id, order_date, customer_id, total_amount, order_status FROM silver_orders"}
+_WITHOUT_CUSTOMERS = {
+    "valid_orders": "SELECT order_id, order_date, customer_id, total_amount, order_status FROM silver_orders"
+}
 
 
 def _sql(body: str, **replaced: str) -> str:

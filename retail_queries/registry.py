@@ -16,7 +16,7 @@ from smeltery.operators.audit import row_counts
 from smeltery.operators.quality import required_columns_report
 from smeltery.plans import batches, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
-from smeltery.schemas import MARTS, SOURCE_SYSTEM, SOURCE_SYSTEMS, TABLES, customers_without_city, raw_schema
+from smeltery.schemas import MARTS, SOURCE_SYSTEM, SOURCE_SYSTEMS, TABLES, customers_without_city, gold_schema, raw_schema
 from smeltery.session import new_folder
 from smeltery.sources import external, files
 from smeltery.sources.folders import Zones
@@ -159,26 +159,13 @@ def bronze_written_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), f"{SOURCE_SYSTEM} STRING, row_count BIGINT")
 
 
-def _gold_schema(table: str):
-    columns = {f.name: f for name in TABLES for f in raw_schema(name).fields}
-    names = {
-        "orders": sales.ORDER_COLUMNS,
-        "order_items": (*sales.ITEM_COLUMNS, *sales.ORDER_COLUMNS[1:]),
-        "fact_sales": sales.FACT_COLUMNS,
-        "customers": raw_schema("customers").names,
-        "products": raw_schema("products").names,
-    }[table]
-    types = {name: field.dataType.simpleString() for name, field in columns.items()} | {"line_total": "double"}
-    return ", ".join(f"{name} {types[name]}" for name in names)
-
-
 def _medallion(output, **options) -> Query:
     """Raw files to gold files through all the layer jobs."""
     def query(spark, sf_dir):
         zones = _landed(spark, sf_dir)
         jobs.run_day(spark, zones, RUN_DATE, **options)
         fmt = options.get("gold_format", "csv")
-        return files.scan(spark, zones.gold_table(output, RUN_DATE), _gold_schema(output), fmt)
+        return files.scan(spark, zones.gold_table(output, RUN_DATE), gold_schema(output), fmt)
     return query
 
 
@@ -187,7 +174,7 @@ def medallion_output_counts(spark, sf_dir):
     zones = _landed(spark, sf_dir)
     jobs.run_day(spark, zones, RUN_DATE)
     counts = (
-        files.scan(spark, zones.gold_table(name, RUN_DATE), _gold_schema(name))
+        files.scan(spark, zones.gold_table(name, RUN_DATE), gold_schema(name))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(mart).alias("mart"), F.lit(name).alias("table_name"), "row_count")
         for name, mart in MARTS.items()
@@ -204,7 +191,7 @@ def gold_files_without_products(spark, sf_dir):
     written = jobs.run_gold(spark, zones, RUN_DATE)
     if written["products"] or written["fact_sales"]:
         raise AssertionError(written)
-    return files.scan(spark, zones.gold_table("order_items", RUN_DATE), _gold_schema("order_items"))
+    return files.scan(spark, zones.gold_table("order_items", RUN_DATE), gold_schema("order_items"))
 
 
 # --- catalog -----------------------------------------------------------------------------

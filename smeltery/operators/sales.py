@@ -13,13 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from smeltery.functions.rules import is_active_order, line_total, positive
+from smeltery.schemas import gold_schema
 
-ORDER_COLUMNS = ("order_id", "customer_id", "order_date", "total_amount", "order_status")
+ORDER_COLUMNS = tuple(gold_schema("orders").names)
 ITEM_COLUMNS = ("order_id", "product_id", "quantity", "unit_price")
-FACT_COLUMNS = (
-    "order_id", "customer_id", "order_date", "product_id", "product_name",
-    "quantity", "unit_price", "line_total", "total_amount",
-)
+FACT_COLUMNS = tuple(gold_schema("fact_sales").names)
 
 
 def valid_orders(orders: DataFrame, customers: DataFrame, *, keys_unique: bool = False) -> DataFrame:

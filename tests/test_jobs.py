@@ -8,16 +8,12 @@ from pyspark.sql import functions as F
 from smeltery.operators.sales import FACT_COLUMNS
 from smeltery.plans import batches, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
-from smeltery.schemas import TABLES, bronze_schema, raw_schema, silver_schema
+from smeltery.schemas import TABLES, bronze_schema, gold_schema, raw_schema, silver_schema
 from smeltery.sources import files
 from smeltery.sources.folders import Zones
 from tests.conftest import rows_of
 
 DAY = "2025-02-20"
-FACT_SCHEMA = (
-    "order_id BIGINT, customer_id BIGINT, order_date DATE, product_id BIGINT, product_name STRING, "
-    "quantity INT, unit_price DOUBLE, line_total DOUBLE, total_amount DOUBLE"
-)
 
 
 @pytest.fixture(scope="module")
@@ -54,7 +50,8 @@ def test_day_end_to_end(spark, landed, tmp_path, layer_format, gold_format, keys
     assert silver.columns == [*raw_schema("orders").names, "timestamp"]
     gold = expected(spark, zones)
     for name, df in gold.items():
-        stored = files.scan(spark, zones.gold_table(name, DAY), df.schema, gold_format)
+        stored = files.scan(spark, zones.gold_table(name, DAY), gold_schema(name), gold_format)
+        assert stored.dtypes == df.dtypes, name
         assert rows_of(stored) == rows_of(df), name
         assert stored.count() > 0, name
 
@@ -79,7 +76,7 @@ def test_rerun_replaces_only_its_day(spark, landed, tmp_path):
     files.write(spark.createDataFrame([(1,)], "x INT"), zones.gold_table("fact_sales", "2025-02-19"))
     for _ in range(2):
         jobs.run_day(spark, zones, DAY)
-    stored = files.scan(spark, zones.gold_table("fact_sales", DAY), FACT_SCHEMA)
+    stored = files.scan(spark, zones.gold_table("fact_sales", DAY), gold_schema("fact_sales"))
     assert rows_of(stored) == rows_of(expected(spark, zones)["fact_sales"])
     assert files.scan(spark, zones.gold_table("fact_sales", "2025-02-19"), "x INT").count() == 1
 
