@@ -59,3 +59,8 @@ def required_columns_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 def drop_columns(df: DataFrame | None, *names: str) -> DataFrame | None:
     """Without the named columns; names that do not occur, and a missing table, are fine."""
     return None if df is None else df.drop(*names)
+
+
+def is_unique(df: DataFrame, column: str) -> bool:
+    """Whether no value of ``column`` occurs twice. Runs a job; counts are combined before the shuffle."""
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()

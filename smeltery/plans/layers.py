@@ -13,6 +13,7 @@ from smeltery.schemas import AUDIT_TIME, SOURCE_SYSTEM, SOURCE_SYSTEMS
 
 Tables = Mapping[str, DataFrame]
 Stage = Callable[[str, DataFrame], DataFrame]
+Check = Callable[[DataFrame], bool]
 
 
 def to_bronze(raw: Tables, ingested_at: Column | None = None) -> dict[str, DataFrame]:
@@ -28,8 +29,13 @@ def _in_place(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def _unknown(valid_orders: DataFrame) -> bool:
+    return False
+
+
 def to_gold(
-    silver: Mapping[str, DataFrame | None], *, keys_unique: bool = False, stage: Stage = _in_place
+    silver: Mapping[str, DataFrame | None], *, keys_unique: bool = False,
+    stage: Stage = _in_place, check: Check = _unknown,
 ) -> dict[str, DataFrame | None]:
     """The five gold outputs; any silver table may be missing (None).
 
@@ -38,7 +44,8 @@ def to_gold(
     The fact needs orders, items and products.
 
     ``stage`` is called on the two tables that several outputs share and may return a
-    written copy, so that their joins run once.
+    written copy, so that their joins run once. ``check`` is asked whether the valid orders
+    are unique; if so, each item is joined once, as under ``keys_unique``.
     """
     customers, products, orders, items = (
         silver.get(name) for name in ("customers", "products", "orders", "order_items")
@@ -49,7 +56,8 @@ def to_gold(
 
     fact, gold_orders, gold_items = None, valid, items
     if valid is not None and items is not None:
-        lines = stage("order_lines", sales.order_lines(items, valid, keys_unique=keys_unique))
+        once = keys_unique or check(valid)
+        lines = stage("order_lines", sales.order_lines(items, valid, keys_unique=once))
         gold_orders, gold_items = sales.active_orders(valid), sales.active_order_items(lines)
         if products is not None:
             fact = sales.fact_sales(lines, products)

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from smeltery.operators import sales
 from smeltery.operators.audit import row_counts, with_audit
-from smeltery.operators.quality import drop_columns, has_column, keep_valid, require_columns, required_columns_report
+from smeltery.operators.quality import (
+    drop_columns, has_column, is_unique, keep_valid, require_columns, required_columns_report,
+)
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import AUDIT_TIME, SOURCE_SYSTEM, SOURCE_SYSTEMS, TABLES, raw_schema
 from tests.conftest import rows_of
@@ -127,6 +129,24 @@ def test_unique_keys_give_the_same_rows(silver):
         assert rows_of(fast[name]) == rows_of(exact[name])
 
 
+def test_uniqueness_check_decides_for_one_join_per_item(spark, silver):
+    assert not is_unique(silver["customers"], "customer_id") and is_unique(silver["orders"], "order_id")
+    assert is_unique(spark.createDataFrame([], "a INT"), "a")
+    asked = []
+
+    def check(valid):
+        asked.append(is_unique(valid, "order_id"))
+        return asked[-1]
+
+    unique = {**silver, "customers": silver["customers"].dropDuplicates(["customer_id"])}
+    for tables in (silver, unique):
+        exact, checked = to_gold(tables), to_gold(tables, check=check)
+        for name in exact:
+            assert checked[name].columns == exact[name].columns
+            assert rows_of(checked[name]) == rows_of(exact[name])
+    assert asked == [False, True]
+
+
 def test_repeated_order_rows_multiply(spark, silver):
     """Two order rows of one id, k=2 and k=1 customers: 3 valid rows, each item 3 times, 9 lines."""
     again = silver["orders"].filter("order_id = 1").withColumn("customer_id", F.lit(2).cast("long"))
