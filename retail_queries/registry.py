@@ -269,7 +269,7 @@ def _generated(table, checks: Callable[[batches.Allocation], dict[str, Column]],
     """Exact columns as generated; drawn columns as a check of their domain."""
     def query(spark, sf_dir):
         allocation = _allocation(spark, sf_dir)
-        df = batches.batch(spark, allocation, batches.LAST_DAY)[table]
+        df = batches.batch(spark, allocation, batches.LAST_DAY, tables=[table])[table]
         return df.select(*kept, *(check.alias(name) for name, check in checks(allocation).items()))
     return query
 

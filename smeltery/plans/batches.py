@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,16 +102,18 @@ def allocate(marks: DataFrame | None, rows: int | Mapping[str, int] = ROWS_PER_T
 
 
 def batch(
-    spark: SparkSession, allocation: Allocation, order_date: dt.date | None = None, seed: int = 0
+    spark: SparkSession, allocation: Allocation, order_date: dt.date | None = None, seed: int = 0,
+    tables: Sequence[str] = TABLES,
 ) -> dict[str, DataFrame]:
-    """The four raw tables. Orders and items may refer to any id up to the new marks."""
+    """The raw tables. Orders and items may refer to any id up to the new marks."""
     last = allocation.last
-    return {
-        "customers": customers(allocation.ids(spark, "customers"), seed),
-        "products": products(allocation.ids(spark, "products"), seed),
-        "orders": orders(allocation.ids(spark, "orders"), last["customers"], order_date, seed),
-        "order_items": order_items(allocation.ids(spark, "order_items"), last["orders"], last["products"], seed),
+    build = {
+        "customers": lambda ids: customers(ids, seed),
+        "products": lambda ids: products(ids, seed),
+        "orders": lambda ids: orders(ids, last["customers"], order_date, seed),
+        "order_items": lambda ids: order_items(ids, last["orders"], last["products"], seed),
     }
+    return {table: build[table](allocation.ids(spark, table)) for table in tables}
 
 
 def high_water(marks: DataFrame) -> DataFrame:
