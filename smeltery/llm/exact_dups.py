@@ -92,7 +92,8 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that exact_duplicates() marks kept; of rows that repeat a doc_id and text too, all.
-    Rows whose doc_id is null stay, as they can't be told apart by id."""
-    dropped = exact_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    """The rows of docs, all columns, that exact_duplicates() marks kept. They are found by doc_id and text together, so
+    rows that share a doc_id but not their text are told apart."""
+    dropped = exact_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("dropped_id"), "text_sha256").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("dropped_id")) & (F.sha2(normalised(text_or_empty()), 256) == dropped["text_sha256"])
+    return docs.join(dropped, same, "left_anti")

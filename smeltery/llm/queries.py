@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from smeltery.llm import chat, contamination, exact_dups, mixing
+from smeltery.llm import chat, contamination, exact_dups, html_text, language, mixing, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,10 +20,20 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(chat.canonical(rows.unionByName(extra))))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, _read(spark, sf_dir, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dups.exact_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return language.predicted(docs, language.train(docs))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.drop("spans")
@@ -34,6 +43,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(_read(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(_read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_chat_formatting, op4_exact_dedup, op6_decontamination, op7_mixing)
+    f.__name__: f
+    for f in (
+        op2_chat_formatting, op3_toxicity, op4_exact_dedup, op5_language_id, op6_decontamination, op7_mixing,
+        op8_html_extraction,
+    )
 }
