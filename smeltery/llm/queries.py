@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from smeltery.llm import chat, contamination, exact_dups, html_text, language, mixing, toxicity
+from smeltery.llm import chat, contamination, exact_dups, html_text, language, mixing, substring_dups, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -47,10 +48,15 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(_read(spark, sf_dir, "pages"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dups.without_repeats(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_chat_formatting, op3_toxicity, op4_exact_dedup, op5_language_id, op6_decontamination, op7_mixing,
-        op8_html_extraction,
+        op8_html_extraction, op9_substring_dedup,
     )
 }
