@@ -7,15 +7,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smeltery.llm import contamination, exact_dups, mixing
+from smeltery.llm import contamination, exact_dups, language, mixing, near_dups
 from smeltery.llm.shared import staged
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, and those in which the network is sure of no language, go."""
+    return language.identified(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, white space aside, the one with the most code points stays."""
     return exact_dups.without_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return near_dups.without_near_duplicates(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
     return contamination.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -26,7 +36,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("decontamination", decontaminate), ("mixing", mix)]
+STAGES = [
+    ("language id", language_id),
+    ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+]
 
 # Language identification is a trained model and the mix draws slots: tests compare run() with the stages one by one.
 ORACLE_SQL = None

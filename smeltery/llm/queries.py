@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import chat, contamination, exact_dups, html_text, language, mixing, near_dups, substring_dups, toxicity
+from smeltery.llm import chat, contamination, exact_dups, html_text, language, mixing, near_dups, substring_dups, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,10 +58,21 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after three edits a document: an insertion, a deletion and a replacement, placed by its id."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("long")
+    start = lambda n: F.pmod(F.xxhash64(F.lit(n), "doc_id"), length + 1)
+    edit = lambda at, end, text: F.struct(at.alias("start"), end.alias("end"), F.lit(text).alias("text"))
+    edits = F.array(edit(start(0), start(0), " (edited) "), edit(start(1), start(1) + 40, ""), edit(start(2), start(2) + 7, "7 of them"))
+    found = token_counts.counted(docs.withColumn("edits", edits))
+    return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_chat_formatting, op3_toxicity, op4_exact_dedup, op5_language_id, op6_decontamination, op7_mixing,
-        op8_html_extraction, op9_substring_dedup,
+        op8_html_extraction, op9_substring_dedup, op10_token_counts,
     )
 }
