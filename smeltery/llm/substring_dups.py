@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.shared import Hasher, chunks, staged, table, text_or_empty, words_of
+from smeltery.llm.shared import Hasher, chunks, packed, staged, table, text_or_empty, unpacked, words_of
 
 WINDOW = 13
 ANCHOR = 6  # words of the shorter prefix
@@ -79,7 +79,8 @@ def frequent_anchors(docs: DataFrame) -> np.ndarray:
 
 
 def shared_anchors(docs: DataFrame, frequent) -> DataFrame:
-    """(doc_id, h): the anchors of each document that occur in a document with another id too, frequent ones left out."""
+    """(doc_id, h): the anchors of each document, as _short() has them, that occur in a document with another id too,
+    frequent ones left out."""
 
     def emit(batches):
         hasher, known = Hasher(), frequent.value
@@ -97,14 +98,14 @@ def shared_anchors(docs: DataFrame, frequent) -> DataFrame:
         keep = np.zeros(0, bool)
         if len(h):
             keep = (np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin))[node]
-        return pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(h[keep])], ["doc_id", "h"])
+        return pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(_short(h[keep].view(np.uint64)).view(np.int32))], ["doc_id", "h"])
 
     def match(batches):
         for rows in _whole_groups(batches, "h", 1_000_000):
             yield shared(rows["h"].to_numpy(), rows["doc_id"].to_numpy())
 
     dealt = docs.select("doc_id", "text").mapInArrow(emit, "h long, doc_id long").repartition("h").sortWithinPartitions("h")
-    return dealt.mapInArrow(match, "doc_id long, h long")
+    return dealt.mapInArrow(match, "doc_id long, h int")
 
 
 def _whole_groups(batches, key: str, limit: int) -> Iterator[pa.Table]:
@@ -127,30 +128,42 @@ def _whole_groups(batches, key: str, limit: int) -> Iterator[pa.Table]:
 SUFFIXES = "key long, doc_id long, hash long, start int, words string"
 
 
-def placed_suffixes(docs: DataFrame, shared: DataFrame, frequent) -> DataFrame:
+def copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, hash) of the documents whose whole text a document with a smaller id has too: they share its leaves."""
+    texts = docs.select("doc_id", "hash", F.xxhash64(F.lit(1), "text").alias("other_hash"))
+    groups = texts.groupBy("hash", "other_hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    return texts.join(groups, ["hash", "other_hash"]).filter(F.col("doc_id") > F.col("first")).select("doc_id", "hash").distinct()
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of hashes: enough to say which anchors of a document to look at."""
+    return (hashes >> np.uint64(32)).astype(np.uint32)
+
+
+def placed_suffixes(blobs: DataFrame, shared: DataFrame, copied: DataFrame, frequent) -> DataFrame:
     """Runs of windows with shared anchors: the key of their group, their document, the number of the first window's
     first word, and the words. Windows of frequent anchors are keyed by all their words, others by the anchor.
 
-    Of equal runs in one batch only those of the smallest document travel; the others are covered, which a row without
-    words says, dealt by its document."""
+    Whole copies send nothing. Of equal runs in one batch only those of the smallest document travel; the others are
+    covered, which a row without words says, dealt by its document."""
 
     def run(batches):
         hasher, known = Hasher(), frequent.value
         for batch in batches:
             ids, hashes = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "hash"))
-            wanted = batch.column("hs")
-            plain = pa.array([b" ".join(t.as_py().encode().split()).decode() if len(w) else "" for t, w in zip(batch.column("text"), _marked(wanted), strict=True)], pa.string())
-            rows, least = [], {}
+            wanted, rows, least = batch.column("hs"), [], {}
+            looked = [h not in (c or ()) and (len(known) or n) for h, c, n in zip(hashes.tolist(), batch.column("copied").to_pylist(), pc.fill_null(pc.list_value_length(wanted), 0).to_pylist(), strict=True)]
+            plain = pa.array([b" ".join(t.split()).decode() if look else "" for t, look in zip(unpacked(batch.column("text")), looked, strict=True)], pa.string())
             for first, data, at in chunks(plain):
                 starts, ends, firsts, (h, _, low, high, of) = _anchors_of(hasher, data, at)
                 if not len(h):
                     continue
                 part = wanted.slice(first, len(at) - 1)
-                known_h = pc.list_flatten(part).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                known_h = pc.list_flatten(part).to_numpy(zero_copy_only=False).astype(np.int32).view(np.uint32)
                 known_of = np.repeat(np.arange(len(part)), pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False))
-                pair = lambda x, y: x * np.uint64(Hasher.ODD) + y.astype(np.uint64)
+                pair = lambda x, y: x.astype(np.int64) | y.astype(np.int64) << 32
                 often = np.isin(h, known)
-                keep = np.flatnonzero(often | np.isin(pair(h, of), pair(known_h, known_of)))
+                keep = np.flatnonzero(often | np.isin(pair(_short(h), of), pair(known_h, known_of)))
                 whole = data.tobytes()
                 windows = Hasher.runs(hasher.words(data, starts, ends), WINDOW).view(np.int64)
                 for i in keep.tolist():
@@ -169,14 +182,9 @@ def placed_suffixes(docs: DataFrame, shared: DataFrame, frequent) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "doc_id", "hash", "start", "words"])
 
-    def _marked(wanted: pa.Array) -> list:
-        """Texts to look at: all if some anchors are frequent, else those with shared anchors."""
-        if len(frequent.value):
-            return [(1,)] * len(wanted)
-        return [(1,) if n else () for n in pc.fill_null(pc.list_value_length(wanted), 0).to_pylist()]
-
     by = shared.groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
-    return docs.join(by, "doc_id", "left").select("doc_id", "hash", "text", "hs").mapInArrow(run, SUFFIXES)
+    whole = copied.groupBy("doc_id").agg(F.collect_list("hash").alias("copied"))
+    return blobs.join(by.join(whole, "doc_id", "full"), "doc_id", "left").select("doc_id", "hash", "text", "hs", "copied").mapInArrow(run, SUFFIXES)
 
 
 def covered_leaves(key: np.ndarray, ids: np.ndarray, words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -251,21 +259,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), text_or_empty().alias("text"))
     texts = texts.withColumn("hash", F.xxhash64("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_anchors(texts))
-    spans = repeats(placed_suffixes(texts, shared_anchors(texts, frequent), frequent))
+    blobs, copied = packed(texts), staged(copies(texts), "copies")
+    spans = repeats(placed_suffixes(blobs.drop("id"), shared_anchors(texts, frequent), copied, frequent))
+    spans = spans.unionByName(copied.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(LAST_ID)}))
     spans = spans.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def cut(batches):
         for batch in batches:
             n, gone, kept = [], [], []
-            for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-                words = text.as_py().encode().split()
+            for text, spans in zip(unpacked(batch.column("text")), batch.column("spans"), strict=True):
+                words = text.split()
                 n.append(len(words))
-                if not spans.is_valid:
+                if not spans.is_valid or len(words) < WINDOW:
                     gone.append(0)
                 else:
                     change = np.zeros(len(words) + 1, np.int64)
                     a = spans.values.field("a").to_numpy(zero_copy_only=False)
-                    b = spans.values.field("b").to_numpy(zero_copy_only=False)
+                    b = np.minimum(spans.values.field("b").to_numpy(zero_copy_only=False), len(words))
                     np.add.at(change, a, 1)
                     np.add.at(change, b, -1)
                     held = np.cumsum(change[:-1]) == 0
@@ -274,5 +284,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "text"])
 
-    found = texts.join(spans, ["doc_id", "hash"], "left").select("id", "text", "spans")
+    found = blobs.join(spans, ["doc_id", "hash"], "left").select("id", "text", "spans")
     return found.mapInArrow(cut, "doc_id long, n_words long, n_removed long, text string")
