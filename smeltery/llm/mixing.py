@@ -25,6 +25,7 @@ SOURCES = 100_000  # the driver lists at most so many
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2  # of all words; of a source's own words
 RUN = 8192  # slots in a row of the drawn plan
+TASK_SLOTS = 500_000  # slots that a task permutes, about
 
 
 @dataclass
@@ -142,7 +143,8 @@ def mix(docs: DataFrame, seed: int = 17, block: int = BLOCK, weights=WEIGHTS, sh
     sources = spark.createDataFrame(rows, "rank int, source string, source_size long, target double, blocks long")
     plan = [(s, r, first + at, min(RUN, n - at), rows[r][4]) for s, r, first, n in drawn(slots, seed) for at in range(0, n, RUN)]
     plan = spark.createDataFrame(plan, "shard int, rank int, first long, n int, blocks long")
-    runs = plan.repartition("shard", "rank", "first").withColumn("j", F.explode(F.expr("sequence(first, first + n - 1)")))
+    tasks = 1 + sum(slots) // TASK_SLOTS
+    runs = plan.repartition(tasks, "shard", "rank", "first").withColumn("j", F.explode(F.expr("sequence(first, first + n - 1)")))
     slots_ = runs.select("shard", F.col("j").alias("slot"), "rank", _blocks(seed).alias("block"))
 
     ranked = sizes.join(F.broadcast(sources.select("rank", F.col("source").alias("named"))), F.col("source").eqNullSafe(F.col("named"))).drop("named")
