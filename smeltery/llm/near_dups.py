@@ -4,9 +4,11 @@ Documents with equal shingle sets are one class. Bands of the classes' signature
 A pair of a bucket is compared signature batch by signature batch; it is dropped once the posterior probability that its
 similarity reaches the threshold falls below a chosen miss probability. Survivors are compared on their whole sets.
 
-Only which classes hang together matters, so a bucket does not emit its pairs: all its members are compared with one of
-them, the hub. Members that link to it, or hang together otherwise, need no comparison among themselves. The hub has met
-everybody and leaves; the bucket goes on with a hub of another component until one component is left.
+Only which classes hang together matters, so a bucket does not emit its pairs. First all its members are compared with one
+of them, the hub; members that hang together then need no comparison among themselves. Then the members outside the
+bucket's largest component are compared with those of other components, in bounded blocks inside tasks, each pair in the
+first band that it shares, and only the links leave the task. After that no pair of a bucket is left whose comparison
+could join two components.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm.components import components
-from smeltery.llm.shared import Hasher, chunks, lowered, mixed, staged, table, text_or_empty, words_of
+from smeltery.llm.shared import Hasher, chunks, lowered, mixed, packed, staged, table, text_or_empty, unpacked, words_of
 
 
 @dataclass(frozen=True)
@@ -34,8 +36,9 @@ class Settings:
     bands: int = 32
     rows: int = 8
     batch: int = 32
-    miss: float = 1e-5
-    small: int = 8  # members up to which a bucket compares all its pairs, after the first round
+    miss: float = 1e-6
+    asked: int = 2048  # members of a bucket outside its largest component that a task holds at once
+    met: int = 32_768  # members that it compares them with
 
     @property
     def hashes(self) -> int:
@@ -116,7 +119,7 @@ def sketched(docs: DataFrame, s: Settings) -> DataFrame:
 
 
 def bands(classes: DataFrame, s: Settings) -> DataFrame:
-    """(bucket, rep): a row for each band of each class."""
+    """(bucket, rep): a row for each band of each class. The band is the remainder of the bucket by the bands' number."""
 
     def run(batches):
         for batch in batches:
@@ -125,7 +128,8 @@ def bands(classes: DataFrame, s: Settings) -> DataFrame:
             key = np.zeros((n, s.bands), np.uint64)
             for r in range(s.rows):
                 key = mixed(key * np.uint64(Hasher.ODD) + data[:, :, r] + np.uint64(1))
-            key = mixed(key + np.arange(s.bands, dtype=np.uint64))
+            key = mixed(key) >> np.uint64(1)
+            key = key - key % np.uint64(s.bands) + np.arange(s.bands, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column("rep").to_numpy(), s.bands))], ["bucket", "rep"])
 
     return classes.select("rep", "signature").mapInArrow(run, "bucket long, rep long")
@@ -149,37 +153,109 @@ def survivors(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
     return pairs.join(signed("a"), "a").join(signed("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def _similar(x: np.ndarray, y: np.ndarray, allowed: np.ndarray, stops: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (of x, of y) of the allowed pairs that the sequential comparison keeps."""
+    i, j = np.nonzero(allowed)
+    agree, done = np.zeros(len(i), np.int64), 0
+    for upto, least in stops:
+        agree += (x[i, done:upto] == y[j, done:upto]).sum(1)
+        held = agree >= least
+        i, j, agree, done = i[held], j[held], agree[held], upto
+    return i, j
+
+
+def _sets(blobs: list[bytes], s: Settings, hasher: Hasher) -> list[np.ndarray]:
+    """Shingle sets of texts as packed() has them."""
+    out = []
+    for _, data, at in chunks(pa.array(unpacked(pa.array(blobs, pa.binary())), pa.binary()).cast(pa.string())):
+        grams, first = shingle_sets(data, at, s.shingle, hasher)
+        out += [grams[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+    return out
+
+
+def _linked(x: np.ndarray, y: np.ndarray, s: Settings) -> bool:
+    if 100 * min(len(x), len(y)) < s.percent * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= s.percent * (len(x) + len(y) - common)
+
+
+class Asked:
+    """Some rows of a batch: their classes, components, signatures, and shingle sets, each made when it is asked for."""
+
+    def __init__(self, rep, component, out, signed, texts, s: Settings, hasher: Hasher) -> None:
+        self.rep, self.component, self.out, self.signed, self.texts = rep, component, out, signed, texts
+        self.sets, self.s, self.hasher = {}, s, hasher
+
+    def have(self, rows: np.ndarray) -> None:
+        new = [int(i) for i in np.unique(rows) if int(i) not in self.sets]
+        self.sets.update(zip(new, _sets([self.texts[i] for i in new], self.s, self.hasher), strict=True))
+
+
+def links_across(members: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings, tile: int = 128) -> DataFrame:
+    """The links (u, v) between members of a bucket that are in different components.
+
+    members: bucket, rep, component. In each bucket those outside its largest component ask, and all others answer; large
+    buckets are cut into blocks of both, and each pair of blocks is a group of its own, in any task."""
+    by = members.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component"))["component"].alias("largest"), F.sum("count").alias("n"), (F.sum("count") - F.max("count")).alias("n_out"))
+    known = classes.select("rep", "signature").join(texts, "rep")
+    rows = members.join(by, "bucket").join(known, "rep")
+    part = lambda n: F.pmod(F.xxhash64("rep"), n)
+    rows = rows.withColumn("x", F.ceil(F.col("n") / s.met)).withColumn("y", F.ceil(F.col("n_out") / s.asked)).withColumn("out", F.col("component") != F.col("largest"))
+    asks = rows.filter("out").withColumn("kind", F.lit(0)).withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("x") - 1))).withColumn("y", part(F.col("y")))
+    answers = rows.withColumn("kind", F.lit(1)).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("y") - 1))).withColumn("x", part(F.col("x")))
+    both = asks.unionByName(answers).select(F.xxhash64("bucket", "x", "y").alias("block"), "kind", "bucket", "rep", "component", "out", "signature", "text")
+    stops = least_matches(s)
+
+    def compared(q: Asked, r: Asked, band: int, found: list) -> None:
+        for u in range(0, len(q.rep), tile):
+            for v in range(0, len(r.rep), tile):
+                c, p = r.component[v : v + tile, None], r.rep[v : v + tile, None]
+                allowed = (c != q.component[None, u : u + tile]) & (~r.out[v : v + tile, None] | (p < q.rep[None, u : u + tile]))
+                i, j = _similar(r.signed[v : v + tile], q.signed[u : u + tile], allowed, stops)
+                i, j = i + v, j + u
+                shared = (r.signed[i] == q.signed[j]).reshape(len(i), s.bands, s.rows).all(2)
+                first = shared.argmax(1) == band
+                i, j = i[first], j[first]
+                r.have(i)
+                q.have(j)
+                found += [(int(r.rep[a]), int(q.rep[b])) for a, b in zip(i, j, strict=True) if _linked(r.sets[int(a)], q.sets[int(b)], s)]
+
+    def run(batches):
+        block, asked, hasher = None, [], Hasher()
+        for batch in batches:
+            at, kind, bucket, rep, component, out = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "kind", "bucket", "rep", "component", "out"))
+            signed = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(len(batch), s.hashes)
+            blobs, found = batch.column("text").to_pylist(), []
+            edges = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (kind[1:] != kind[:-1]), [True]])) if len(at) else [0]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if at[a] != block:
+                    block, asked = at[a], []
+                rows = Asked(rep[a:b], component[a:b], out[a:b], signed[a:b], blobs[a:b], s, hasher)
+                if kind[a] == 0:
+                    asked.append(rows)
+                else:
+                    for q in asked:
+                        compared(q, rows, int(bucket[a] % s.bands), found)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ((), ()))], ["u", "v"])
+
+    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, "u long, v long")
+
+
 def links(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets are similar enough."""
+    """The pairs (u, v) whose full shingle sets are similar enough. texts: rep and its text as packed() has it."""
 
     def run(batches):
         hasher = Hasher()
         for batch in batches:
-            ok = np.zeros(len(batch), bool)
-            both = pa.chunked_array([batch.column("ta"), batch.column("tb")]).combine_chunks()
-            names = np.concatenate([batch.column(c).to_numpy() for c in ("a", "b")])
-            _, where, which = np.unique(names, return_index=True, return_inverse=True)
-            if len(where) and batch_unique(batch, names, where, which):
-                both = both.take(pa.array(where))
-            else:
-                which = np.arange(len(names))
-            sets = []
-            for _, data, at in chunks(both):
-                grams, first = shingle_sets(data, at, s.shingle, hasher)
-                sets += [grams[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
-            for i, (p, q) in enumerate(which.reshape(2, -1).T):
-                x, y = sets[p], sets[q]
-                if 100 * min(len(x), len(y)) >= s.percent * max(len(x), len(y)):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    ok[i] = 100 * common >= s.percent * (len(x) + len(y) - common)
+            ok, blobs = np.zeros(len(batch), bool), {}
+            sides = [[blobs.setdefault(b, len(blobs)) for b in batch.column(c).to_pylist()] for c in ("ta", "tb")]
+            sets = _sets(list(blobs), s, hasher)
+            for i, (p, q) in enumerate(zip(*sides, strict=True)):
+                ok[i] = _linked(sets[p], sets[q], s)
             keep = pa.array(np.flatnonzero(ok))
             yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], ["u", "v"])
 
-    def batch_unique(batch, names, where, which) -> bool:
-        """Whether an id has one text only in the batch, so that it is read once."""
-        texts_ = pa.chunked_array([batch.column("ta"), batch.column("tb")]).combine_chunks()
-        return texts_.equals(texts_.take(pa.array(where[which])))
-
     text = lambda c: texts.select(F.col("rep").alias(c), F.col("text").alias(f"t{c}"))
     return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
 
@@ -197,37 +273,21 @@ def near_duplicates(docs: DataFrame, s: Settings = NEAR) -> DataFrame:
     members = staged(usable.select("doc_id", "sets").distinct().join(classes.select("sets", "rep"), "sets").select("doc_id", "rep").distinct(), "members")
     rows = bands(classes, s)
     met = rows.groupBy("bucket").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x <> y").select("bucket")
-    open_ = staged(rows.join(met, "bucket").withColumn("component", F.col("rep")), "buckets")
+    open_ = staged(rows.join(met, "bucket"), "buckets")
     wanted = open_.select(F.col("rep").alias("doc_id")).distinct()
-    texts = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), text_or_empty().alias("text")), "texts")
+    texts = packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")))
+    texts = staged(texts.join(wanted, "doc_id").select(F.col("doc_id").alias("rep"), "text"), "texts")
 
     same = members.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    edges, first = None, True
-    while True:
-        # A hub of the largest component number meets all members of other components.
-        stats = open_.groupBy("bucket").agg(F.min("component").alias("low"), F.max(F.struct("component", "rep")).alias("hub"), F.count("*").alias("n"))
-        stats = stats.filter(F.col("low") != F.col("hub.component"))
-        here = staged(open_.join(stats, "bucket").select("bucket", "rep", "component", "n", F.col("hub.rep").alias("hub"), F.col("hub.component").alias("hub_component")), "round")
-        if here.isEmpty():
-            break
-        star = here if first else here.filter(F.col("n") > s.small)
-        pairs = star.filter(F.col("component") != F.col("hub_component")).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-        if not first:
-            few = here.filter(F.col("n") <= s.small)
-            other = few.select("bucket", F.col("rep").alias("rep2"), F.col("component").alias("component2"))
-            rest = few.join(other, "bucket").filter("rep < rep2 AND component <> component2")
-            pairs = pairs.unionByName(rest.select(F.col("rep").alias("a"), F.col("rep2").alias("b")))
-        found = staged(links(staged(survivors(pairs.distinct(), classes, s), "survivors"), texts, s), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        at = staged(components(edges), "components")
-        # The hub has met every other component of its bucket; small buckets are done.
-        left = here.filter(F.col("rep") != F.col("hub")) if first else here.filter((F.col("n") > s.small) & (F.col("rep") != F.col("hub")))
-        left = left.select("bucket", "rep", "component").join(at.withColumnRenamed("node", "rep"), "rep", "left")
-        open_ = staged(left.select("bucket", "rep", F.coalesce(at["component"], left["rep"]).alias("component")), "buckets")
-        first = False
-
-    every = same if edges is None else same.unionByName(edges)
-    at = components(every).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "found")
+    hub = open_.groupBy("bucket").agg(F.min("rep").alias("hub"))
+    pairs = open_.join(hub, "bucket").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    linked = staged(links(staged(survivors(pairs, classes, s), "survivors"), texts, s), "links")
+    at = components(linked).withColumnRenamed("node", "rep")
+    rest = open_.join(at, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    apart = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
+    rest = staged(rest.join(apart, "bucket"), "apart")
+    across = links_across(rest, classes, texts, s)
+    at = components(same.unionByName(linked).unionByName(across)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "found")
     out = base.select("doc_id", "n_shingles").join(at, "doc_id", "left")
     component = F.coalesce("found", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
