@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.shared import Hasher, chunks, fresh, table, text_or_empty, words_of
+from smeltery.llm.shared import Hasher, chunks, fresh, slices, table, text_or_empty, words_of
 from smeltery.llm.toxicity import held_out
 
 HIDDEN = 8
@@ -22,8 +22,8 @@ LONGEST = 24  # bytes of a segment
 PER_LANGUAGE = 250  # training texts, about
 TRAINING_SEGMENTS = 60_000  # of them
 STEPS, BATCH, RATE = 700, 384, 0.02
-HELD_WORDS = 3_000_000  # words whose distinct segments are looked for at once
-SEGMENTS = 16_384  # that the network reads at once
+HELD_WORDS = 800_000  # words whose distinct segments are looked for at once
+SEGMENTS = 8_192  # that the network reads at once
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -218,7 +218,7 @@ class Reader:
         lettered = letters[ends] > letters[starts]
         starts, ends, of = starts[lettered], ends[lettered], of[lettered] + first
         hashes, where, which = np.unique(self.hasher.words(data, starts, ends), return_index=True, return_inverse=True)
-        self.parts.append((hashes, data, starts[where], ends[where], which, of))
+        self.parts.append((hashes, data, starts[where], ends[where], which.astype(np.int32), of.astype(np.int32)))
         self.held += len(of)
         if self.held > HELD_WORDS:
             self.read()
@@ -268,7 +268,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 def labelled(docs: DataFrame, model: Model, keep: list[str], label: str, score: str) -> DataFrame:
     """The columns keep of docs, with the predicted language and its pooled probability. Null texts and texts without
     letters are `und` with score 0. Repeated rows are labelled each."""
-    text = fresh(docs, "whole_text")
+    text = "text" if "text" in keep else fresh(docs, "whole_text")
 
     def run(batches):
         for batch in batches:
@@ -277,10 +277,11 @@ def labelled(docs: DataFrame, model: Model, keep: list[str], label: str, score:
                 reader.add(*part)
             names, scores = reader.result()
             columns = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*keep, label, score])
+            yield from slices(pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*keep, label, score]))
 
     schema = docs.select(*keep).withColumn(label, F.lit("")).withColumn(score, F.lit(0.0)).schema
-    return docs.select(*keep, text_or_empty().alias(text)).mapInArrow(run, schema)
+    whole = [] if text in keep else [text_or_empty().alias(text)]
+    return docs.select(*keep, *whole).mapInArrow(run, schema)
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
