@@ -13,14 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.llm.shared import chunks, fresh, lowered, table, words_of
+from smeltery.llm.shared import chunks, fresh, lowered, slices, table, words_of
 
 WINDOW = 13
 PATTERN_CHARS = 2_000_000  # in one automaton; about 100 MB in a task
 
-REPORT = T.StructType.fromDDL(
-    "n_words BIGINT, items ARRAY<STRING>, spans ARRAY<STRUCT<first_word: BIGINT, end_word: BIGINT, start: BIGINT, end: BIGINT>>"
-)
+_SPAN = T.StructType([T.StructField(c, T.LongType()) for c in ("first_word", "end_word", "start", "end")])
+REPORT = T.StructType([
+    T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(_SPAN)),
+])
 
 
 _SPACED = np.where(table("alnum"), lowered(), 32).astype(np.uint8).tobytes()
@@ -118,7 +119,7 @@ def _scan(patterns, text_column: str, report: str, keep: list[str]):
                         items = items | set(was["items"])
                     out.append({"n_words": max(0, words.count(" ") - 1), "items": sorted(items), "spans": spans(text, ranges)})
             columns = [batch.column(c) for c in keep] + [pa.array(out, kind)]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, report])
+            yield from slices(pa.RecordBatch.from_arrays(columns, [*keep, report]))
 
     return run
 

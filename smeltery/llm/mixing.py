@@ -41,8 +41,9 @@ class Mix:
 
     def rows(self) -> DataFrame:
         """The mix: for each slot, the pieces of documents that fill it (shard, slot, rank, block, row, doc_id,
-        first_word, words), joined by block number."""
-        return self.slots.join(self.pieces, ["rank", "block"])
+        first_word, words), joined by block number. Both sides are made from smaller tables and are larger than Spark
+        takes them for, so that it must not broadcast either."""
+        return self.slots.hint("merge").join(self.pieces, ["rank", "block"])
 
     def texts(self, docs: DataFrame) -> DataFrame:
         """rows() with the words themselves, joined by single spaces."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09-\x0D]+"
 
-CHUNK_BYTES = 1 << 20  # text that numpy works on at once
+CHUNK_BYTES = 1 << 18  # text that numpy works on at once
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,6 +47,12 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that the reader of whole texts holds few of them at once."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 def packed(docs: DataFrame, column: str = "text") -> DataFrame:
     """docs with the texts of a column as zstd blobs, a third smaller in a shuffle than Spark's own compression of rows."""
     others = [c for c in docs.columns if c != column]

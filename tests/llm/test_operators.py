@@ -1,0 +1,362 @@
+"""Operators on small tables with nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from smeltery.llm import (
+    chat, components, contamination, exact_dups, html_text, language, mixing, near_dups, substring_dups, token_counts, toxicity,
+)
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def table(spark, texts, schema=DOCS):
+    return spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 3}", len(t or "")) for i, t in texts], schema)
+
+
+def vocabulary(seed, n=40):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcdefgé") for _ in range(rng.randint(1, 7))) for _ in range(n)]
+
+
+def sentence(rng, words, n):
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def odd_texts():
+    """Nulls, empties, white space only, exact copies, repeated rows, long texts and passages that repeat."""
+    rng, words = random.Random(4), vocabulary(1)
+    passage = sentence(rng, words, 30)
+    out = [(0, None), (1, ""), (2, " \t\n"), (3, "one"), (4, "One"), (None, "one two three"), (5, passage), (6, f"{passage}\n")]
+    out += [(7, f"x {passage} {sentence(rng, words, 20)}"), (8, sentence(rng, words, 20_000)), (9, "w" * 30_000), (9, "w" * 30_000)]
+    out += [(10 + i, f"{sentence(rng, words, i)} {passage if i % 2 else ''} {sentence(rng, words, 5)}") for i in range(12)]
+    near = passage.split()
+    out += [(30 + i, " ".join([*near[:i], f"new{i}", *near[i:], *near])) for i in range(8)]
+    return out + [(50, "the " * 400), (51, "the " * 300), (-3, passage.upper())]
+
+
+def test_exact_duplicates_against_brute_force(spark):
+    texts = odd_texts()
+    for block in (7, 4096):
+        found = exact_dups.exact_duplicates(table(spark, texts).withColumn("Identity", F.lit(1)), block).collect()
+        plain = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        wanted = []
+        for i, t in texts:
+            group = [(len(u or ""), -j if j is not None else float("-inf"), j) for j, u in texts if plain(u) == plain(t)]
+            keep = max(group, key=lambda g: g[:2])[2]
+            wanted.append((i, keep, len(group), i == keep, hashlib.sha256(plain(t).encode()).hexdigest()))
+        assert sorted(map(repr, found)) == sorted(f"Row(doc_id={i!r}, keep_id={k!r}, group_size={n}, kept={x}, text_sha256={h!r})" for i, k, n, x, h in wanted)
+    assert exact_dups.exact_duplicates(table(spark, []), 9).count() == 0
+
+
+def test_colliding_block_keys_get_another_lane(spark):
+    weak = lambda block, lanes: [F.pmod(F.xxhash64(F.lit(k), block), F.lit(3)).alias(f"key{k}") for k in range(lanes)]
+    texts = [(i, c * n) for i, (c, n) in enumerate((c, n) for c in "abcdefgh" for n in (1, 5, 11))] + [(99, "a" * 5)]
+    named = exact_dups.document_names(table(spark, texts), 4, lanes=1, keys=weak).collect()
+    by = {r["doc_id"]: r["identity"] for r in named}
+    assert by[99] == by[1] and len(set(by.values())) == len(texts) - 1
+
+
+def test_near_duplicates_against_brute_force(spark):
+    texts = [(i, t) for i, t in odd_texts()]
+    s = near_dups.Settings(shingle=3, percent=85)
+    low = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+
+    def shingles(t):
+        w = WORD.findall(low(t))
+        return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set())
+
+    ids = sorted({i for i, _ in texts if i is not None})
+    component = {i: i for i in ids}
+    for _ in ids:
+        for i, t in texts:
+            for j, u in texts:
+                a, b = shingles(t), shingles(u)
+                if i is not None and j is not None and a and b and 100 * len(a & b) >= 85 * len(a | b):
+                    component[i] = component[j] = min(component[i], component[j])
+    found = near_dups.near_duplicates(table(spark, texts).withColumn("rep", F.lit(0)), s).collect()
+    wanted = sorted((repr(i), len(shingles(t)), component.get(i), component.get(i, i) == i) for i, t in texts)
+    assert sorted((repr(r["doc_id"]), r["n_shingles"], r["component_id"], r["kept"]) for r in found) == wanted
+    assert near_dups.near_duplicates(table(spark, []), s).count() == 0
+
+
+def test_blocks_find_links_across_components(spark):
+    """Members of one bucket, none linked to the bucket's hub, in blocks of two."""
+    rng, words = random.Random(9), vocabulary(3, 4000)
+    base = [rng.choice(words) for _ in range(200)]
+    texts = [(0, " ".join(base))]
+    for i in range(1, 25):
+        changed = list(base)
+        for at in rng.sample(range(200), 7 if i < 13 else 12):
+            changed[at] = f"n{i // 2}x{at}"
+        texts.append((i, " ".join(changed)))
+    s = near_dups.Settings(shingle=1, percent=90, bands=64, rows=4, asked=2, met=3)
+    sets = {i: set(t.split()) for i, t in texts}
+    component = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                    component[i] = component[j] = min(component[i], component[j])
+    found = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(table(spark, texts), s).collect()}
+    assert found == component and len(set(component.values())) > 1
+
+
+def test_pruning_keeps_its_miss_probability():
+    s = near_dups.Settings(shingle=3, percent=85)
+    rng = np.random.default_rng(1)
+    alive = np.ones(20_000, bool)
+    agree = np.cumsum(rng.random((20_000, s.hashes)) < 0.85, 1)
+    for n, m in near_dups.least_matches(s):
+        alive &= agree[:, n - 1] >= m
+    assert alive.mean() > 0.999
+    dropped = np.cumsum(rng.random((2000, s.hashes)) < 0.6, 1)
+    assert (dropped[:, s.hashes - 1] >= near_dups.least_matches(s)[-1][1]).mean() < 0.01
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, j) for j in range(101, 130)] + [(7, 7), (5, 4)]
+    found = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found == {**{i: 1 for i in range(1, 41)}, **{j: 100 for j in range(100, 130)}}
+    assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_repeats_against_brute_force(spark, monkeypatch):
+    texts = odd_texts()
+    first = {}
+    for i, t in sorted(texts, key=lambda x: (x[0] is None, x[0] or 0)):
+        w = WORD.findall(t or "")
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k : k + 13]), i)
+    wanted = []
+    for i, t in texts:
+        w = WORD.findall(t or "")
+        keep = [True] * len(w)
+        for k in range(len(w) - 12):
+            if first[tuple(w[k : k + 13])] != i:
+                keep[k : k + 13] = [False] * 13
+        kept = [x for x, y in zip(w, keep, strict=True) if y]
+        wanted.append((repr(i), len(w), len(w) - len(kept), " ".join(kept)))
+    for frequent in (1000, 3):
+        monkeypatch.setattr(substring_dups, "FREQUENT", frequent)
+        found = substring_dups.without_repeats(table(spark, texts).withColumn("hash", F.lit(1)))
+        assert sorted((repr(r["doc_id"]), r["n_words"], r["n_removed"], r["text"]) for r in found.collect()) == sorted(wanted)
+    assert substring_dups.without_repeats(table(spark, [])).count() == 0
+
+
+def test_decontamination_against_brute_force(spark):
+    texts = odd_texts()
+    items = [(1, texts[6][1]), (2, "One"), (3, None), (None, "three"), (5, "two, THREE!"), (2, "one"), (6, " ".join(["the"] * 20))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        for k in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(tuple(w[k : k + 13]), set()).add("" if i is None else str(i))
+    wanted = []
+    for i, t in texts:
+        w, hit, of = words(t), set(), set()
+        for size in {len(x) for x in windows}:
+            for k in range(len(w) - size + 1):
+                if (got := windows.get(tuple(w[k : k + size]))) is not None:
+                    of |= got
+                    hit.update(range(k, k + size))
+        digest = hashlib.sha256(",".join(sorted(of)).encode()).hexdigest()
+        wanted.append((repr(i), len(w), len(hit), len(of), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    docs = table(spark, texts).withColumn("report", F.lit("r"))
+    for limit in (contamination.PATTERN_CHARS, 150):  # one automaton, and several
+        found = contamination.scanned(docs, benchmark, ["doc_id", "text"], "seen", limit=limit)
+        rows = found.select("doc_id", "text", "seen", contamination.n_hit("seen").alias("hit"), contamination.is_contaminated("seen").alias("bad")).collect()
+        got = [(repr(r["doc_id"]), r["seen"]["n_words"], r["hit"], len(r["seen"]["items"]), hashlib.sha256(",".join(sorted(r["seen"]["items"])).encode()).hexdigest(), r["bad"]) for r in rows]
+        assert sorted(got) == sorted(wanted)
+        for r in rows:  # offsets are of the original text
+            for s in r["seen"]["spans"]:
+                assert words(r["text"][s["start"] : s["end"]]) == words(r["text"])[s["first_word"] : s["end_word"]]
+    kept = contamination.without_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and kept.count() == sum(not w[-1] for w in wanted)
+    assert contamination.contamination(docs, benchmark.filter("false")).filter("n_hit > 0").count() == 0
+    assert contamination.contamination(table(spark, []), benchmark).count() == 0
+
+
+def test_mix(spark):
+    rng, words = random.Random(2), vocabulary(2)
+    rows = [(i, sentence(rng, words, rng.randint(1, 300)), None if i % 5 == 0 else f"s{i % 3}") for i in range(200)]
+    rows += [(500, None, "s0"), (501, "", "empty"), (None, "a b c", "s1"), (None, "a b c", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("rank", F.lit(7))
+    found = mixing.mixed_documents(docs).collect()
+    again = mixing.mixed_documents(docs.repartition(5)).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, again)) and len(found) == len(rows)
+    total = sum(r["size"] for r in found)
+    by = {}
+    for r in found:
+        assert r["taken"] <= 2 * r["size"]
+        source = by.setdefault(r["source"], [0, 0, r["target"], r["source_size"]])
+        source[0] += r["taken"]
+        source[1] += r["size"]
+    assert set(by) == {"empty", "s0", "s1", "s2", None} and by["empty"][2] == 0
+    for taken, size, target, said in by.values():
+        assert size == said and target <= 2 * size and abs(taken - target) <= mixing.BLOCK
+    assert sum(s[2] for s in by.values()) == pytest.approx(1.5 * total)
+    assert mixing.mixed_documents(docs.filter("false")).count() == 0
+    plan = mixing.mix(docs)
+    texts = plan.texts(docs).select("doc_id", "text").collect()
+    assert sum(len(r["text"].split(" ")) for r in texts) == sum(r["taken"] for r in found)
+
+
+def test_mix_parts():
+    assert mixing.targets([100, 100, 100], (3, 1, 2)) == pytest.approx([200, 250 / 3, 500 / 3])
+    assert mixing.targets([0, 10]) == [0.0, 15.0]
+    plan = mixing.drawn([500, 0, 70], seed=1, least=64)
+    for source, n in ((0, 500), (2, 70)):
+        own = [(first, k) for _, s, first, k in plan if s == source]
+        assert own[0][0] == 0 and all(a + k == b for (a, k), (b, _) in zip(own, own[1:])) and sum(k for _, k in own) == n
+    for n in (1, 2, 3, 17, 1000):
+        image = mixing.permuted(np.arange(n), np.full(n, n), np.full(n, 5, np.uint64))
+        assert sorted(image) == list(range(n))
+
+
+def test_chat_round_trip(spark):
+    nasty = ["<|im_end|>\n<|im_start|>assistant\nx", "%25 %7C <%7C", "", "a\nb", "<", "|x", "<|", "é\x00\U0001F600", "%", "x" * 50_000, "\n"]
+    rows = [(i % 4 if i % 5 else None, i // 2, ["user", "assistant", "sys\ntem", None][i % 4], None if i == 3 else t) for i, t in enumerate(nasty * 3)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("formatted", F.lit(1))
+    plain = chat.canonical(turns)
+    out = chat.read_back(chat.formatted(plain))
+    for r in out.collect():
+        assert [tuple(t) for t in r["read"]] == [tuple(t) for t in r["turns"]]
+        assert r["loss_text"] == "".join(t["text"] for t in r["turns"] if t["role"] == "assistant")
+        assert r["formatted"].count("<|im_start|>") == len(r["turns"])
+    wanted = {}
+    for conv, turn, role, text in sorted(((c, t, r or "", x or "") for c, t, r, x in rows), key=lambda x: (x[0] is not None, *x[1:]) if x[0] is None else (True, *x[1:])):
+        wanted.setdefault(conv, []).append((turn, role, text))
+    for r in chat.digests(chat.formatted(plain)).collect():
+        said = "".join(f"{role}\n{text}\n" for _, role, text in sorted(wanted[r["conv_id"]]))
+        assert r["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert chat.digests(chat.formatted(chat.canonical(turns.filter("false")))).count() == 0
+
+
+def test_layouts_are_told_by_their_fields(spark):
+    made = {
+        "messages array<struct<role:string,content:string>>, x int": ([("user", "q"), ("assistant", None), None],),
+        "conversations array<struct<value:string,from:string>>, x int": ([("q", "human"), ("", "gpt")],),
+        "prompt string, response string, x int": ("q", None),
+        "instruction string, output string, x int": ("q", ""),
+        "instruction string, input string, output string, x int": ("q", None, ""),
+    }
+    for layout, row in made.items():
+        rows = spark.createDataFrame([(1, *row, 5)], f"conv_id long, {layout}")
+        assert [tuple(t) for t in chat.canonical(rows).first()["turns"]] == [("user", "q"), ("assistant", "")]
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.canonical(spark.createDataFrame([(1, "a")], "conv_id long, other string"))
+
+
+def test_toxicity_learns_and_scores_all(spark):
+    rng, words = random.Random(3), vocabulary(5, 300)
+    texts = [(i, sentence(rng, words, rng.randint(20, 60)) + (" you idiot" if i % 4 == 0 else "")) for i in range(600)]
+    docs = table(spark, [*texts, (1000, None), (1001, ""), (1002, "é" * 20_000), (None, "you IDIOT " * 9)])
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in texts] + [(None, 1), (3, None), (77_777, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels.withColumn("text", F.lit("x")))
+    found = {r["doc_id"]: r for r in toxicity.scored(docs.withColumn("score", F.lit(2)), model).collect()}
+    held = [r for i, r in found.items() if r["held_out"] and i is not None and i < 1000]
+    assert len(held) > 80 and np.mean([r["predicted"] == (r["doc_id"] % 4 == 0) for r in held]) > 0.95
+    assert found[None]["predicted"] == 1 and all(0 <= r["score"] <= 1 for r in found.values())
+    assert toxicity.scored(table(spark, []), model).count() == 0
+    empty = toxicity.train(docs, labels.filter("false"))
+    assert {r["score"] for r in toxicity.scored(docs, empty).collect()} == {0.5}
+
+
+def test_language_gradients():
+    """Backpropagation through time against differences of the loss."""
+    rng = np.random.default_rng(0)
+    layer = language.Direction(rng, 3)
+    layer.weights = [w.astype(np.float64) for w in layer.weights]
+    x, active = rng.integers(97, 100, (4, 2)), [2, 2, 1, 1]
+    target = rng.normal(size=(4, 2, 3))
+    target[2:, 1] = 0
+    loss = lambda: float((layer.forward(x, active).astype(np.float64) * target).sum())
+    kept = []
+    layer.forward(x, active, kept)
+    for w, g in zip(layer.weights, layer.backward(x, active, kept, target), strict=True):
+        for at in [tuple(rng.integers(0, n) for n in w.shape) if w.shape[0] != 256 else (int(x[0, 0]), int(rng.integers(0, 9))) for _ in range(5)]:
+            w[at] += 1e-2
+            up = loss()
+            w[at] -= 2e-2
+            down = loss()
+            w[at] += 1e-2
+            assert g[at] == pytest.approx((up - down) / 2e-2, abs=2e-3)
+
+
+def test_language(spark):
+    rng = random.Random(6)
+    kinds = {"xx": ["aba", "bab", "abab", "baa"], "yy": ["çéc", "céé", "écc", "ééç"], "zz": ["qrs", "srq", "rrq", "sqs"]}
+    rows = [(i, sentence(rng, kinds[k], rng.randint(1, 40)), k) for i in range(300) for k in [sorted(kinds)[i % 3]]]
+    rows += [(900, None, "xx"), (901, "123 ... \t", None), (902, "abab " * 9000, None), (903, "q" * 20_000, None), (None, "aba", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("s"))
+    model = language.train(docs)
+    found = {r["doc_id"]: r for r in language.predicted(docs, model).collect()}
+    held = [r for i, r in found.items() if i is not None and i < 300 and r["held_out"]]
+    assert len(held) > 40 and np.mean([r["lang_pred"] == sorted(kinds)[r["doc_id"] % 3] for r in held]) == 1
+    assert (found[900]["lang_pred"], found[900]["score"], found[901]["lang_pred"]) == ("und", 0.0, "und")
+    assert (found[902]["lang_pred"], found[903]["lang_pred"], found[None]["lang_pred"]) == ("xx", "zz", "xx")
+    kept = language.identified(docs)
+    assert kept.columns == docs.columns and {900, 901}.isdisjoint(r["doc_id"] for r in kept.collect())
+    assert language.predicted(docs, language.train(docs.filter("false"))).filter("lang_pred <> 'und'").count() == 0
+    assert language.predicted(docs.filter("false"), model).count() == 0
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (None, ""), ("", ""), ("<html></html>", ""), ("just text", "just text"),
+    ("<body><nav><a href=x>menu</a></nav><article><h1>T &amp; t</h1><p>a<br>b&nbsp; c<p>d &#233; <b>e</b>f</article><footer>f</footer>", "T & t\na b c\nd é ef"),
+    ("<div class='sidebar'><p>side, side, side</p></div><div id=main><p>One, two.</p><p>Three, four.</p></div><div class=comments><p>no, no, no, no</p></div>", "One, two.\nThree, four."),
+    ("<article><header><h1>H</h1></header><p>x<script>var a='</p>'</script> y</p><form><input><p>f</p></form><!-- c --><p>z", "H\nx y\nz"),
+    ("<article><p>a < b & c</p><ul><li>one<li>two</ul><ul><li><a href=1>more</a></ul><p hidden>h</p></article>", "a < b & c\none\ntwo"),
+    ("<article><p>cut <a hre", "cut"), ("<article>" + "<div>" * 3000 + "deep", "deep"),
+])
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_extracted_rows(spark):
+    pages = spark.createDataFrame([(1, "u", None), (1, "u", None), (None, None, "<p>é</p>")], "page_id long, url string, html string")
+    found = html_text.extracted(pages.withColumn("text", F.lit("t"))).collect()
+    assert sorted(map(repr, found)) == sorted(["Row(page_id=1, url='u', text='', n_chars=0)"] * 2 + ["Row(page_id=None, url=None, text='é', n_chars=1)"])
+    assert html_text.extracted(pages.filter("false")).count() == 0
+
+
+def test_token_tree_follows_random_edits():
+    import tiktoken
+
+    encoding = tiktoken.Encoding("t", pat_str=token_counts.PATTERN, mergeable_ranks=token_counts.vocabulary(), special_tokens={})
+    count = lambda t: len(encoding.encode_ordinary(t))
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choice(["ab", "c ", " ", "  ", "\n", "'s", " é", "9", "!", " the"]) for _ in range(rng.randrange(60)))
+        tree = token_counts.TokenTree(text, count, leaf=rng.choice([1, 4, 16]))
+        for _ in range(6):
+            a = rng.randrange(len(text) + 2)
+            b, new = a + rng.randrange(12), rng.choice(["", " ", "x", " new word ", "\n", " '"])
+            tree.edit(a, b, new)
+            a = min(a, len(text))
+            text = text[:a] + new + text[min(max(b, a), len(text)) :]
+            assert tree.text() == text and tree.total == count(text)
+    long = "word " * 50_000
+    assert token_counts.TokenTree(long, count).edit(1000, 1010, "x y") < 2000
+
+
+def test_token_counts_of_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (2, None), (None, "x y")], "doc_id long, text string").withColumn("n_tokens", F.lit(0))
+    edits = spark.createDataFrame([(1, 1, 0, 1, "zz"), (1, 0, 5, 5, " d"), (2, 0, None, None, None), (9, 0, 0, 0, "q")], "doc_id long, seq int, start long, end long, text string")
+    found = token_counts.counted(token_counts.with_edits(docs.drop("n_tokens"), edits)).collect()
+    assert sorted((repr(r["doc_id"]), r["edited"], r["n_chars_edited"]) for r in found) == [("1", "zz b c d", 8)] * 2 + [("2", "", 0), ("None", "x y", 3)]
+    assert token_counts.counted(token_counts.with_edits(docs.filter("false").drop("n_tokens"), edits)).count() == 0
+
+
+def test_empty_arrow_arrays():
+    assert list(near_dups.chunks(pa.array([], pa.string()))) == []
