@@ -107,12 +107,6 @@ _LABELLED_COUNTS = " UNION ALL ".join(
     f"SELECT '{label}' AS source_system, count(*) AS row_count FROM raw_{name}" for name, label in SOURCE_SYSTEMS.items()
 )
 
-_REQUIRED = " UNION ALL ".join(
-    f"SELECT '{table}' AS table_name, '{column}' AS column_name, true AS present, count(*) AS row_count FROM raw_{table}"
-    for column, tables in (("customer_id", ("orders", "customers")), ("order_id", ("order_items", "orders")))
-    for table in tables
-)
-
 _GOLD = {
     "fact_sales": "fact_sales", "customers": "raw_customers", "orders": "active_orders",
     "order_items": "active_order_items", "products": "silver_products",
@@ -133,18 +127,12 @@ _MARKS = {
 }
 
 
-def _generated(table: str, columns: str) -> str:
-    ids = f"SELECT unnest(range(last_id + 1, last_id + 1 + n)) AS id FROM marks WHERE table_name = '{table}'"
-    return _sql(f"SELECT {columns} FROM ({ids}) AS ids", **_MARKS)
-
-
 _NO_TIME = 'SELECT * EXCLUDE ("timestamp") FROM '
 
 ORACLE: dict[str, str] = {
     **{f"bronze_{name}": _table(f"bronze_{name}") for name in TABLES},
     "bronze_row_counts": _sql(_LABELLED_COUNTS),
     "bronze_written_counts": _sql(_LABELLED_COUNTS),
-    "required_columns": _sql(_REQUIRED),
     **{f"silver_{name}": _table(f"silver_{name}") for name in TABLES},
     "item_line_totals": _sql(
         "SELECT order_item_id, order_id, product_id, quantity * unit_price AS line_total FROM silver_order_items"
@@ -196,14 +184,12 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey AS order_id, o_totalprice AS amount FROM orders
         UNION ALL SELECT l_orderkey, l_extendedprice FROM lineitem""",
     "id_high_water": _sql("SELECT table_name, last_id, last_id + 1 AS next_id FROM marks", **_MARKS),
-    "generated_customers": _generated("customers", """
-        id AS customer_id, 'Customer ' || id AS full_name, 'customer' || id || '@example.com' AS email,
-        true AS address_ok, true AS city_ok, true AS state_ok"""),
-    "generated_products": _generated("products", """
-        id AS product_id, 'Product ' || id AS product_name, true AS category_ok, true AS price_ok"""),
-    "generated_orders": _generated("orders", """
-        id AS order_id, DATE '2025-01-01' AS order_date, true AS customer_ok, true AS amount_ok, true AS status_ok"""),
-    "generated_order_items": _generated("order_items", """
-        id AS order_item_id, true AS order_ok, true AS product_ok, true AS quantity_ok, true AS price_ok"""),
-    "generated_marks": _sql("SELECT table_name, last_id + n AS last_id FROM marks", **_MARKS),
+}
+
+ORACLE |= {
+    "csv_fractional_order_items": ORACLE["csv_round_trip_order_items"],
+    "csv_header_variants_state": f"SELECT state FROM ({ORACLE['csv_header_variants']})",
+    "csv_header_variants_city": f"SELECT city FROM ({ORACLE['csv_header_variants']})",
+    "csv_header_variants_filtered": f"SELECT customer_id FROM ({ORACLE['csv_header_variants']}) WHERE state > 'M'",
+    "csv_header_variants_by_state": f"SELECT state, count(*) AS n FROM ({ORACLE['csv_header_variants']}) GROUP BY state",
 }

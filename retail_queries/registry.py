@@ -13,7 +13,6 @@ from retail_queries import adapter
 from smeltery.functions.rules import day_folder, line_total, run_day
 from smeltery.operators import sales
 from smeltery.operators.audit import row_counts
-from smeltery.operators.quality import required_columns_report
 from smeltery.plans import batches, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import MARTS, SOURCE_SYSTEM, SOURCE_SYSTEMS, TABLES, customers_without_city, gold_schema, raw_schema
@@ -83,10 +82,6 @@ def bronze_row_counts(spark, sf_dir):
     return row_counts(_bronze(spark, sf_dir))
 
 
-def required_columns(spark, sf_dir):
-    return required_columns_report(_bronze(spark, sf_dir))
-
-
 def item_line_totals(spark, sf_dir):
     items = _silver(spark, sf_dir)["order_items"]
     return items.select("order_item_id", "order_id", "product_id", line_total().alias("line_total"))
@@ -240,7 +235,7 @@ def external_outputs(spark, sf_dir):
     return results[0].unionAll(results[1])
 
 
-# --- generated batches, as many rows as the given tables hold -------------------------------
+# --- id marks over the given tables ---------------------------------------------------------
 
 
 def _marks(spark, sf_dir) -> DataFrame:
@@ -256,60 +251,13 @@ def id_high_water(spark, sf_dir):
     return batches.high_water(_marks(spark, sf_dir)).withColumn("next_id", F.col("last_id") + 1)
 
 
-def _rows(spark, sf_dir) -> dict[str, int]:
-    tables = {label: name for name, label in SOURCE_SYSTEMS.items()}
-    return {tables[label]: n for label, n in row_counts(adapter.raw(spark, sf_dir)).collect()}
-
-
-def _allocation(spark, sf_dir) -> batches.Allocation:
-    return batches.allocate(_marks(spark, sf_dir), _rows(spark, sf_dir))
-
-
-def _generated(table, checks: Callable[[batches.Allocation], dict[str, Column]], *kept: str) -> Query:
-    """Exact columns as generated; drawn columns as a check of their domain."""
-    def query(spark, sf_dir):
-        allocation = _allocation(spark, sf_dir)
-        df = batches.batch(spark, allocation, batches.LAST_DAY, tables=[table])[table]
-        return df.select(*kept, *(check.alias(name) for name, check in checks(allocation).items()))
-    return query
-
-
-def _cents(name: str, low: int, high: int) -> Column:
-    return F.col(name).between(low, high) & (F.round(F.col(name), 2) == F.col(name))
-
-
-generated_customers = _generated("customers", lambda _: {
-    "address_ok": F.col("address").rlike(f"^[1-9][0-9]{{0,3}} ({'|'.join(batches.STREETS)})$"),
-    "city_ok": F.col("city").isin(*batches.CITIES),
-    "state_ok": F.col("state").isin(*batches.STATES),
-}, "customer_id", "full_name", "email")
-
-generated_products = _generated("products", lambda _: {
-    "category_ok": F.col("category").isin(*batches.CATEGORIES),
-    "price_ok": _cents("price", 5, 1000),
-}, "product_id", "product_name")
-
-generated_orders = _generated("orders", lambda allocation: {
-    "customer_ok": F.col("customer_id").between(1, allocation.last["customers"]),
-    "amount_ok": _cents("total_amount", 0, 5000),
-    "status_ok": F.col("order_status").isin(*batches.STATUSES),
-}, "order_id", "order_date")
-
-generated_order_items = _generated("order_items", lambda allocation: {
-    "order_ok": F.col("order_id").between(1, allocation.last["orders"]),
-    "product_ok": F.col("product_id").between(1, allocation.last["products"]),
-    "quantity_ok": F.col("quantity").between(1, 10),
-    "price_ok": _cents("unit_price", 5, 500),
-}, "order_item_id")
-
-
-def generated_marks(spark, sf_dir):
-    """Marks after one batch was written to the raw folders."""
-    root = new_folder(spark, "batch")
-    marks = f"{root}/marks"
-    files.write(batches.high_water(_marks(spark, sf_dir)), marks, "json")
-    batches.run_batch(spark, Zones.under(root), RUN_DATE, marks, _rows(spark, sf_dir))
-    return batches.high_water(files.scan(spark, marks, batches.MARKS_SCHEMA, "json"))
+def csv_fractional_order_items(spark, sf_dir):
+    """Whole numbers written as n.0 are read back whole."""
+    folder = f"{new_folder(spark, 'csv')}/order_items"
+    items = adapter.raw(spark, sf_dir)["order_items"]
+    whole = ("order_item_id", "order_id", "product_id", "quantity")
+    files.write(items.withColumns({c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in whole}), folder)
+    return files.scan(spark, folder, raw_schema("order_items"))
 
 
 REPEATED, HOT = adapter.with_repeated_customers, adapter.with_hot_keys
@@ -318,7 +266,6 @@ QUERIES: dict[str, Query] = {
     **{f"bronze_{name}": _bronze_table(name) for name in TABLES},
     "bronze_row_counts": bronze_row_counts,
     "bronze_written_counts": bronze_written_counts,
-    "required_columns": required_columns,
     **{f"silver_{name}": _silver_table(name) for name in TABLES},
     "item_line_totals": item_line_totals,
     "valid_orders": _valid_orders(),
@@ -351,7 +298,12 @@ QUERIES: dict[str, Query] = {
     "parquet_round_trip_products": _round_trip("products", "parquet"),
     "csv_overwrite_orders": csv_overwrite_orders,
     "csv_two_runs_orders": csv_two_runs_orders,
+    "csv_fractional_order_items": csv_fractional_order_items,
     "csv_header_variants": csv_header_variants,
+    "csv_header_variants_state": lambda spark, sf_dir: csv_header_variants(spark, sf_dir).select("state"),
+    "csv_header_variants_city": lambda spark, sf_dir: csv_header_variants(spark, sf_dir).select("city"),
+    "csv_header_variants_filtered": lambda spark, sf_dir: csv_header_variants(spark, sf_dir).filter("state > 'M'").select("customer_id"),
+    "csv_header_variants_by_state": lambda spark, sf_dir: csv_header_variants(spark, sf_dir).groupBy("state").agg(F.count("*").alias("n")),
     "medallion_fact_sales": _medallion("fact_sales", layer_format="csv"),
     "medallion_orders": _medallion("orders"),
     "medallion_order_items": _medallion("order_items", gold_format="parquet"),
@@ -360,9 +312,4 @@ QUERIES: dict[str, Query] = {
     "external_customer": external_customer,
     "external_outputs": external_outputs,
     "id_high_water": id_high_water,
-    "generated_customers": generated_customers,
-    "generated_products": generated_products,
-    "generated_orders": generated_orders,
-    "generated_order_items": generated_order_items,
-    "generated_marks": generated_marks,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from smeltery.operators.quality import is_unique
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import SOURCE_SYSTEMS, TABLES, bronze_schema, customers_without_city, raw_schema, silver_schema
-from smeltery.session import job_folder, tuned
+from smeltery.session import new_folder, tuned
 from smeltery.sources.files import (
     release, scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional,
 )
@@ -60,17 +60,18 @@ def run_silver(spark: SparkSession, zones: Zones, run_date: dt.date | str, layer
 
 def run_gold(
     spark: SparkSession, zones: Zones, run_date: dt.date | str, *,
-    keys_unique: bool = False, layer_format: str = "parquet", gold_format: str = "csv",
+    layer_format: str = "parquet", gold_format: str = "csv",
 ) -> dict[str, bool]:
     """Returns which of the five outputs were written; a missing silver table is no error.
 
     Valid orders and order lines are written once to the shared folder and read back by
     all outputs, so no join runs twice and a lost executor costs no recomputed joins. Once
-    valid orders are there, a look at their ids tells whether one join per item is enough.
+    valid orders are there, a look at their ids tells whether one join per item is enough. Each run
+    has a folder of its own, so that overlapping runs of a day do not meet; it is freed also if a write fails.
     """
     folders = {name: zones.silver_table(name, run_date) for name in TABLES}
     silver = {name: scan_optional(spark, folder, silver_schema(name), layer_format) for name, folder in folders.items()}
-    work = job_folder(spark, f"gold-{day(run_date)}", zones.gold)
+    work = new_folder(spark, f"gold-{day(run_date)}")
     shared = {}
 
     def stage(name: str, df: DataFrame) -> DataFrame:
@@ -78,24 +79,20 @@ def run_gold(
         return shared[name]
 
     with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)):
-        gold = to_gold(
-            silver, keys_unique=keys_unique, stage=stage, check=lambda valid: is_unique(valid, "order_id")
-        )
-        written = together(
-            spark, lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold
-        )
-        together(spark, lambda name: release(shared[name], f"{work}/{name}"), shared)
-        return written
+        try:
+            gold = to_gold(silver, stage=stage, check=lambda valid: is_unique(valid, "order_id"))
+            return together(
+                spark, lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold
+            )
+        finally:
+            together(spark, lambda name: release(shared[name], f"{work}/{name}"), shared)
 
 
 def run_day(
     spark: SparkSession, zones: Zones, run_date: dt.date | str, *,
-    ingested_at: Column | None = None, keys_unique: bool = False,
-    layer_format: str = "parquet", gold_format: str = "csv",
+    ingested_at: Column | None = None, layer_format: str = "parquet", gold_format: str = "csv",
 ) -> dict[str, bool]:
     """Bronze, silver and gold for one day, all under the same run date."""
     run_bronze(spark, zones, run_date, ingested_at, layer_format)
     run_silver(spark, zones, run_date, layer_format)
-    return run_gold(
-        spark, zones, run_date, keys_unique=keys_unique, layer_format=layer_format, gold_format=gold_format
-    )
+    return run_gold(spark, zones, run_date, layer_format=layer_format, gold_format=gold_format)

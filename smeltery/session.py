@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,18 +14,20 @@ from pyspark.sql import SparkSession
 # would keep the whole first join in one task.
 # Broadcasts are chosen by file size; the compression factor accounts for columns growing
 # in memory, so that only sides that really are small qualify.
-# The ceiling on scan tasks makes tasks of huge inputs read more, not the driver plan more.
+# A partition counts as skewed from twice the size that partitions are meant to have, at any input size.
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.fileCompressionFactor": "3.0",
-    "spark.sql.files.maxPartitionNum": "100000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
 }
 
 _SHUFFLE_TARGET = 256 * 1024 * 1024
-_MAX_SHUFFLE_PARTITIONS = 32_768
+# Session setting that bounds the number of shuffle partitions; unset, nothing does.
+MOST_PARTITIONS = "spark.smeltery.maxShufflePartitions"
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
@@ -43,20 +42,20 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def shuffle_partitions(input_bytes: int, slots: int) -> int:
-    """Partitions for shuffles of an input of this size on this many task slots.
+def shuffle_partitions(input_bytes: int, slots: int, most: int | None = None) -> int:
+    """Partitions for shuffles of an input of this size on this many task slots, of 256 MB at most.
 
-    Compressed columns grow about threefold in a shuffle. Beyond the ceiling partitions grow
-    and spill instead, which is cheaper than ever smaller shuffle blocks.
+    Compressed columns grow about threefold in a shuffle. With ``most`` partitions grow beyond that size instead.
     """
-    wanted = math.ceil(3 * input_bytes / _SHUFFLE_TARGET)
-    return min(max(wanted, slots), _MAX_SHUFFLE_PARTITIONS)
+    wanted = max(math.ceil(3 * input_bytes / _SHUFFLE_TARGET), slots)
+    return wanted if most is None else min(wanted, most)
 
 
 def _settings(spark: SparkSession, input_bytes: int | None) -> dict[str, str]:
     if input_bytes is None:
         return _SETTINGS
-    partitions = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+    most = spark.conf.get(MOST_PARTITIONS, None)
+    partitions = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism, int(most) if most else None)
     return _SETTINGS | {"spark.sql.shuffle.partitions": str(partitions)}
 
 
@@ -83,26 +82,11 @@ def tuned(spark: SparkSession, *input_paths: str) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-@cache
-def _test_folder() -> str:
-    return tempfile.mkdtemp(prefix="smeltery-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named in ``spark.checkpoint.dir``."""
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or else one under the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _test_folder()
+    return (named or spark.conf.get("spark.sql.warehouse.dir") + "/_shared").rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/smeltery/{purpose}-{uuid.uuid4().hex}"
-
-
-def job_folder(spark: SparkSession, purpose: str, owner: str) -> str:
-    """A folder that re-runs of the same job find again and replace."""
-    mark = hashlib.md5(owner.encode()).hexdigest()[:12]
-    return f"{shared_folder(spark)}/smeltery/{purpose}-{mark}"

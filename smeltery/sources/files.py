@@ -2,25 +2,55 @@
 
 CSV types are declared by column name, never inferred: no inference pass over the data,
 stable types for header-only files, and a value that does not parse becomes NULL (and is
-dropped by the gates) instead of turning its column into text. Which columns there are is
+dropped by the gates) instead of turning its column into text. Whole numbers may be written
+with a fraction of zeros, as in 3.0. Which columns there are is
 up to the files, so that a column the feed forgot is seen to be missing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_UNPARSED = "_unparsed_line"
+def _files(spark: SparkSession):
+    """Reader of the folder's ``*.csv`` files; the folder is listed once, whatever the number of files."""
+    return spark.read.option("pathGlobFilter", "*.csv")
 
 
 def _header(spark: SparkSession, folder: str) -> list[str]:
     """Column names in the first line of one of the folder's CSV files; nothing else is read."""
-    return spark.read.option("header", True).csv(f"{folder}/*.csv").columns
+    try:
+        return _files(spark).option("header", True).csv(folder).columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        # No such file, or only empty ones: the pattern as a path says which.
+        return spark.read.option("header", True).csv(f"{folder}/*.csv").columns
+
+
+def _typed(fields: Sequence[T.StructField]) -> tuple[T.StructType, list]:
+    """(schema to read CSV with, columns with the wanted types): whole numbers are read as text."""
+    read = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.IntegralType) else f.dataType) for f in fields]
+
+    def value(f: T.StructField):
+        if not isinstance(f.dataType, T.IntegralType):
+            return F.col(f"`{f.name}`")
+        text, kind = F.trim(F.col(f"`{f.name}`")), f.dataType.simpleString()
+        whole = F.when(text.rlike(r"^[+-]?[0-9]+[.]0*$"), F.substring_index(text, ".", 1)).otherwise(text)
+        return whole.try_cast(kind).alias(f.name)
+
+    return T.StructType(read), [value(f) for f in fields]
+
+
+def _csv(spark: SparkSession, fields: Sequence[T.StructField], paths: str | list[str]) -> DataFrame:
+    schema, columns = _typed(fields)
+    reader = _files(spark).schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.csv(paths).select(*columns)
 
 
 def scan(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame:
@@ -37,8 +67,7 @@ def scan(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str
         return spark.read.schema(schema).format(fmt).load(folder)
     types = {f.name.lower(): f.dataType for f in schema}
     typed = [T.StructField(name, types.get(name.lower(), T.StringType())) for name in _header(spark, folder)]
-    reader = spark.read.schema(T.StructType(typed)).option("header", True).option("enforceSchema", False)
-    return reader.csv(f"{folder}/*.csv")
+    return _csv(spark, typed, folder)
 
 
 def scan_optional(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame | None:
@@ -54,44 +83,38 @@ def scan_optional(spark: SparkSession, folder: str, schema: T.StructType | str,
 def scan_csv_variants(
     spark: SparkSession, folder: str, schema: T.StructType, narrower: Sequence[T.StructType]
 ) -> DataFrame:
-    """CSV files of which some lack columns of ``schema``, aligned by name in one scan.
+    """CSV files of which some lack columns of ``schema``, aligned by name; the columns a file lacks are NULL.
 
-    Lines that do not fill ``schema`` are parsed again with each narrower variant in turn,
-    and the columns a variant lacks are NULL. Lines that fit no variant stay as read.
-    Variants must differ in their number of columns. A folder with some other header is
-    scanned as it is.
+    Each file is read by its own header, so any selection of columns is right. A pass over the folder finds the
+    headers; a file without one of them raises ValueError, but for folders in which no file has one: these are
+    scanned as they are.
     """
-    if _header(spark, folder) not in [schema.names, *(variant.names for variant in narrower)]:
+    known = {",".join(variant.names): variant for variant in (schema, *narrower)}
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    line = F.regexp_replace("value", r'["\ufeff\r]', "")
+    headers = lines.select(F.col("_metadata.file_path").alias("file"), F.when(line.isin(*known), line).alias("header"))
+    found = headers.groupBy("file").agg(F.max("header").alias("header"), F.countDistinct("header").alias("n")).collect()
+    strange = sorted(r["file"] for r in found if r["n"] != 1)
+    if len(strange) == len(found):
         return scan(spark, folder, schema)
-    whole = T.StructType([*schema.fields, T.StructField(_UNPARSED, T.StringType())])
-    lines = (
-        spark.read.schema(whole).option("header", True)
-        .option("columnNameOfCorruptRecord", _UNPARSED).csv(f"{folder}/*.csv")
-    )
-    fits = []
-    for i, variant in enumerate(narrower):
-        parsed = f"_variant_{i}"
-        options = {"columnNameOfCorruptRecord": _UNPARSED}
-        checked = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in variant.fields), f"{_UNPARSED} STRING"])
-        lines = lines.withColumn(parsed, F.from_csv(F.col(_UNPARSED), checked, options))
-        fits.append((variant, parsed))
-
-    def aligned(field: T.StructField):
-        value = F.col(field.name)
-        for variant, parsed in reversed(fits):
-            fit = F.col(_UNPARSED).isNotNull() & F.col(parsed)[_UNPARSED].isNull()
-            own = F.col(parsed)[field.name] if field.name in variant.names else F.lit(None).cast(field.dataType)
-            value = F.when(fit, own).otherwise(value)
-        return value.alias(field.name)
-
-    return lines.select(*(aligned(field) for field in schema.fields))
+    if strange:
+        raise ValueError(f"unknown header in {strange[:3]}")
+    by = {}
+    for r in found:
+        by.setdefault(r["header"], []).append(r["file"])
+    parts = [_csv(spark, known[h].fields, folder if len(by) == 1 else files) for h, files in sorted(by.items())]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    missing = [f for f in schema.fields if f.name not in whole.columns]
+    whole = whole.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    return whole.select(*schema.names)
 
 
 def write(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """Replace the table in ``folder``. Files are as many as ``df`` has partitions."""
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer = writer.option("header", True).options(**keep)
     writer.format(fmt).save(folder)
 
 

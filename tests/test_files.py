@@ -155,3 +155,40 @@ def test_file_uri(spark, tmp_path):
     folder = f"file://{tmp_path}/range"
     files.write(spark.range(3), folder, "parquet")
     assert files.scan(spark, folder, "id BIGINT", "parquet").count() == 3
+
+
+VARIANTS = {
+    "wide.csv": "customer_id,full_name,email,address,city,state\n1,A,a@,1 St,Boston,MA\n3,C,c@,3 St,Rome,NY\n",
+    "narrow.csv": "customer_id,full_name,email,address,state\n2,B,b@,2 St,NY\n",
+}
+
+
+def test_variants_are_right_under_any_projection(spark, tmp_path):
+    for name, text in VARIANTS.items():
+        put(tmp_path, name, text)
+    found = files.scan_csv_variants(spark, str(tmp_path), raw_schema("customers"), [customers_without_city()])
+    assert rows_of(found.select("state")) == [("MA",), ("NY",), ("NY",)]
+    assert rows_of(found.select("city")) == sorted([("Boston",), ("Rome",), (None,)], key=repr)
+    assert rows_of(found.filter("state = 'NY'").select("customer_id")) == [(2,), (3,)]
+    assert rows_of(found.groupBy("state").count()) == [("MA", 1), ("NY", 2)]
+
+
+@pytest.mark.parametrize("header", ["customer_id,full_name,email,address,state,city", "customer_id,full_name,email,address,zip"])
+def test_a_strange_header_beside_known_ones_raises(spark, tmp_path, header):
+    put(tmp_path, "a.csv", VARIANTS["wide.csv"])
+    put(tmp_path, "b.csv", f"{header}\n9,X,x@,9 St,TX,Houston\n")
+    with pytest.raises(ValueError, match="b.csv"):
+        files.scan_csv_variants(spark, str(tmp_path), raw_schema("customers"), [customers_without_city()])
+
+
+def test_whole_numbers_with_a_fraction_of_zeros_stay(spark, tmp_path):
+    put(tmp_path, "a.csv", "order_item_id,order_id,product_id,quantity,unit_price\n1.0,9007199254740993.0,3.,4.00,2.5\n2,1.5,x,-3,1\n")
+    found = files.scan(spark, str(tmp_path), raw_schema("order_items"))
+    assert found.schema == raw_schema("order_items")
+    assert rows_of(found) == [(1, 9007199254740993, 3, 4, 2.5), (2, None, None, -3, 1.0)]
+
+
+def test_white_space_of_texts_stays(spark, tmp_path):
+    names = spark.createDataFrame([(1, " lead "), (2, "trail  ")], "product_id long, product_name string")
+    files.write(names, str(tmp_path / "p"))
+    assert rows_of(files.scan(spark, str(tmp_path / "p"), names.schema)) == rows_of(names)

@@ -31,15 +31,13 @@ def expected(spark, zones):
     return to_gold(to_silver(to_bronze(jobs.read_raw(spark, zones, DAY))))
 
 
-@pytest.mark.parametrize("layer_format,gold_format,keys_unique", [
-    ("csv", "csv", False), ("parquet", "csv", False), ("parquet", "parquet", True),
-])
-def test_day_end_to_end(spark, landed, tmp_path, layer_format, gold_format, keys_unique):
+@pytest.mark.parametrize("layer_format,gold_format", [("csv", "csv"), ("parquet", "csv"), ("parquet", "parquet")])
+def test_day_end_to_end(spark, landed, tmp_path, layer_format, gold_format):
     own = Zones.under(str(tmp_path))
     zones = Zones(landed.raw, own.bronze, own.silver, own.gold)
     loaded = F.lit("2025-02-20 01:02:03.456").cast("timestamp")
     written = jobs.run_day(
-        spark, zones, dt.date(2025, 2, 20), ingested_at=loaded, keys_unique=keys_unique,
+        spark, zones, dt.date(2025, 2, 20), ingested_at=loaded,
         layer_format=layer_format, gold_format=gold_format,
     )
     assert all(written.values())

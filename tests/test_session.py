@@ -4,20 +4,23 @@ import pytest
 
 from smeltery import session
 
-SHUFFLE, SCAN = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionNum"
+SHUFFLE = "spark.sql.shuffle.partitions"
 
 
-@pytest.mark.parametrize("stored,slots,partitions", [(0, 8, 8), (10**9, 8, 12), (10**12, 4000, 11176), (10**14, 4000, 32768)])
+@pytest.mark.parametrize("stored,slots,partitions", [(0, 8, 8), (10**9, 8, 12), (10**12, 4000, 11176), (10**14, 4000, 1117588)])
 def test_shuffle_partitions(stored, slots, partitions):
     assert session.shuffle_partitions(stored, slots) == partitions
 
 
-def test_scan_tasks_have_a_ceiling(spark, tmp_path):
-    spark.range(0, 1000, 1, 20).write.parquet(str(tmp_path / "many"))
-    before = spark.conf.get(SCAN)
-    spark.conf.set(SCAN, "2")
-    assert spark.read.parquet(str(tmp_path / "many")).rdd.getNumPartitions() <= 3
-    spark.conf.set(SCAN, before)
+def test_partitions_stay_small_unless_a_setting_says_otherwise(spark):
+    for stored in (10**9, 10**12, 10**14):
+        assert 3 * stored / session.shuffle_partitions(stored, 8) <= 256 * 1024**2
+    assert session.shuffle_partitions(10**14, 8, most=32_768) == 32_768
+    spark.conf.set(session.MOST_PARTITIONS, "100")
+    try:
+        assert session._settings(spark, 10**14)["spark.sql.shuffle.partitions"] == "100"
+    finally:
+        spark.conf.unset(session.MOST_PARTITIONS)
 
 
 def test_stored_bytes(spark, tmp_path):
@@ -34,7 +37,7 @@ def test_stored_bytes(spark, tmp_path):
 def test_tuned_restores_settings(spark, tmp_path):
     (tmp_path / "x").write_bytes(b"1")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
-    before = {key: spark.conf.get(key) for key in (SHUFFLE, SCAN)}
+    before = {key: spark.conf.get(key) for key in (SHUFFLE,)}
     with pytest.raises(ZeroDivisionError):
         with session.tuned(spark, str(tmp_path)):
             assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
@@ -50,16 +53,8 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_folder(spark) == named
     first, second = (session.new_folder(spark, "x") for _ in range(2))
     assert first.startswith(f"{named}/smeltery/x-") and first != second
-    assert session.job_folder(spark, "x", "gs://a") == session.job_folder(spark, "x", "gs://a")
-    assert session.job_folder(spark, "x", "gs://a") != session.job_folder(spark, "x", "gs://b")
 
 
-def unnamed(master):
-    """A session that names no shared folder."""
-    return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
-
-
-def test_no_local_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(unnamed("yarn"))
-    assert session.shared_folder(unnamed("local[2]")) == session.shared_folder(unnamed("local[2]"))
+def test_shared_folder_without_a_name_is_beside_the_tables():
+    unnamed = SimpleNamespace(conf={"spark.sql.warehouse.dir": "s3a://shop/tables"})
+    assert session.shared_folder(unnamed) == "s3a://shop/tables/_shared"
