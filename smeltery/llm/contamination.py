@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.llm.shared import chunks, fresh, lowered, slices, table, words_of
+from smeltery.llm.shared import chunks, fresh, lean, lowered, slices, table, words_of
 
 WINDOW = 13
 PATTERN_CHARS = 2_000_000  # in one automaton; about 100 MB in a task
@@ -139,7 +139,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, keep: list[str], report: str,
         columns = found.columns if patterns else [*keep, report]
         columns = [c for c in columns if c != report]
         schema = T.StructType([docs.schema[c] for c in columns] + [T.StructField(report, REPORT)])
-        found = found.mapInArrow(_scan(shared, "text", report, columns), schema)
+        found = found.mapInArrow(lean(_scan(shared, "text", report, columns)), schema)
     return found
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.shared import Hasher, chunks, fresh, slices, table, text_or_empty, words_of
+from smeltery.llm.shared import Hasher, chunks, fresh, lean, slices, table, text_or_empty, words_of
 from smeltery.llm.toxicity import held_out
 
 HIDDEN = 8
@@ -281,7 +281,7 @@ def labelled(docs: DataFrame, model: Model, keep: list[str], label: str, score:
 
     schema = docs.select(*keep).withColumn(label, F.lit("")).withColumn(score, F.lit(0.0)).schema
     whole = [] if text in keep else [text_or_empty().alias(text)]
-    return docs.select(*keep, *whole).mapInArrow(run, schema)
+    return docs.select(*keep, *whole).mapInArrow(lean(run), schema)
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm.components import components
-from smeltery.llm.shared import Hasher, chunks, lowered, mixed, packed, staged, table, text_or_empty, unpacked, words_of
+from smeltery.llm.shared import Hasher, chunks, lean, lowered, mixed, packed, staged, table, text_or_empty, unpacked, words_of
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,7 @@ def sketched(docs: DataFrame, s: Settings) -> DataFrame:
                 signed += [row.tobytes() for row in signatures(grams, first, s.hashes)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(signed, pa.binary())], ["doc_id", "n_shingles", "sets", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, n_shingles long, sets binary, signature binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(lean(run), "doc_id long, n_shingles long, sets binary, signature binary")
 
 
 def bands(classes: DataFrame, s: Settings) -> DataFrame:
@@ -132,7 +132,7 @@ def bands(classes: DataFrame, s: Settings) -> DataFrame:
             key = key - key % np.uint64(s.bands) + np.arange(s.bands, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(batch.column("rep").to_numpy(), s.bands))], ["bucket", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, "bucket long, rep long")
+    return classes.select("rep", "signature").mapInArrow(lean(run), "bucket long, rep long")
 
 
 def survivors(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
@@ -150,7 +150,7 @@ def survivors(pairs: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(alive)) for c in ("a", "b")], ["a", "b"])
 
     signed = lambda c: classes.select(F.col("rep").alias(c), F.col("signature").alias(f"s{c}"))
-    return pairs.join(signed("a"), "a").join(signed("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(signed("a"), "a").join(signed("b"), "b").select("a", "b", "sa", "sb").mapInArrow(lean(run), "a long, b long")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, allowed: np.ndarray, stops: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -239,7 +239,7 @@ def links_across(members: DataFrame, classes: DataFrame, texts: DataFrame, s: Se
                         compared(q, rows, int(bucket[a] % s.bands), found)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else ((), ()))], ["u", "v"])
 
-    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, "u long, v long")
+    return both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(lean(run), "u long, v long")
 
 
 def links(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -257,7 +257,7 @@ def links(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], ["u", "v"])
 
     text = lambda c: texts.select(F.col("rep").alias(c), F.col("text").alias(f"t{c}"))
-    return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
+    return pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb").mapInArrow(lean(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = NEAR) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -47,6 +48,20 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def lean(run):
+    """run, a function of batches, that hands its task's freed memory back to the system: workers live on between tasks
+    of different jobs, and what each has ever used would add up."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """A batch in parts, so that the reader of whole texts holds few of them at once."""
     for at in range(0, len(batch), rows):
@@ -63,7 +78,7 @@ def packed(docs: DataFrame, column: str = "text") -> DataFrame:
             blobs = pa.array([compress((t.as_py() or "").encode()) for t in batch.column(column)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), blobs], [*others, column])
 
-    return docs.select(*others, column).mapInArrow(run, docs.select(*others).withColumn(column, F.lit(b"")).schema)
+    return docs.select(*others, column).mapInArrow(lean(run), docs.select(*others).withColumn(column, F.lit(b"")).schema)
 
 
 def unpacked(blobs: pa.Array) -> list[bytes]:

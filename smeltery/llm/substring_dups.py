@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.shared import Hasher, chunks, packed, staged, table, text_or_empty, unpacked, words_of
+from smeltery.llm.shared import Hasher, chunks, lean, packed, staged, table, text_or_empty, unpacked, words_of
 
 WINDOW = 13
 ANCHOR = 6  # words of the shorter prefix
@@ -72,7 +72,7 @@ def frequent_anchors(docs: DataFrame) -> np.ndarray:
             h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([_signed(h[n > 1]), pa.array(n[n > 1].astype(np.int64))], ["h", "n"])
 
-    sums = staged(docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > FREQUENT), "frequent")
+    sums = staged(docs.select("text").mapInArrow(lean(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") > FREQUENT), "frequent")
     least = max(FREQUENT, (sums.agg(F.sum("n")).first()[0] or 0) // FREQUENT_ANCHORS)
     rows = sums.filter(F.col("n") > least).select("h").toArrow()["h"].to_numpy()
     return np.sort(rows.astype(np.int64).view(np.uint64))
@@ -184,7 +184,7 @@ def placed_suffixes(blobs: DataFrame, shared: DataFrame, copied: DataFrame, freq
 
     by = shared.groupBy("doc_id").agg(F.collect_list("h").alias("hs"))
     whole = copied.groupBy("doc_id").agg(F.collect_list("hash").alias("copied"))
-    return blobs.join(by.join(whole, "doc_id", "full"), "doc_id", "left").select("doc_id", "hash", "text", "hs", "copied").mapInArrow(run, SUFFIXES)
+    return blobs.join(by.join(whole, "doc_id", "full"), "doc_id", "left").select("doc_id", "hash", "text", "hs", "copied").mapInArrow(lean(run), SUFFIXES)
 
 
 def covered_leaves(key: np.ndarray, ids: np.ndarray, words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -246,7 +246,7 @@ def repeats(suffixes: DataFrame) -> DataFrame:
         for rows in _whole_groups(batches, "key", HELD // 16):
             yield grown(rows)
 
-    return suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc_id long, hash long, a long, b long")
+    return suffixes.repartition("key").sortWithinPartitions("key").mapInArrow(lean(run), "doc_id long, hash long, a long, b long")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
