@@ -15,7 +15,7 @@ from smeltery.operators import sales
 from smeltery.operators.audit import row_counts
 from smeltery.plans import batches, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
-from smeltery.schemas import MARTS, SOURCE_SYSTEM, SOURCE_SYSTEMS, TABLES, customers_without_city, gold_schema, raw_schema
+from smeltery.schemas import MARTS, SOURCE_SYSTEM, TABLES, customers_without_city, gold_schema, raw_schema
 from smeltery.session import new_folder
 from smeltery.sources import external, files
 from smeltery.sources.folders import Zones
