@@ -187,6 +187,11 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE |= {
+    "gold_csv_files_without_products": ORACLE["gold_files_without_products"],
+    "csv_texts_kept": f"""
+        SELECT product_id, CASE product_id % 5 WHEN 0 THEN '  ' || product_name || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL
+            WHEN 3 THEN 'say "' || product_name || '", twice' ELSE product_name END AS product_name, category, price
+        FROM ({_RAW["raw_products"]}) AS a""",
     "csv_fractional_order_items": ORACLE["csv_round_trip_order_items"],
     "csv_header_variants_state": f"SELECT state FROM ({ORACLE['csv_header_variants']})",
     "csv_header_variants_city": f"SELECT city FROM ({ORACLE['csv_header_variants']})",

@@ -189,6 +189,29 @@ def gold_files_without_products(spark, sf_dir):
     return files.scan(spark, zones.gold_table("order_items", RUN_DATE), gold_schema("order_items"))
 
 
+def gold_csv_files_without_products(spark, sf_dir):
+    """The same over silver tables in CSV, whose folders are looked for by their files."""
+    zones = Zones.under(new_folder(spark, "zones"))
+    for name, df in _silver(spark, sf_dir, missing="products").items():
+        files.write_optional(df, zones.silver_table(name, RUN_DATE))
+    written = jobs.run_gold(spark, zones, RUN_DATE, layer_format="csv")
+    if written["products"] or written["fact_sales"]:
+        raise AssertionError(written)
+    return files.scan(spark, zones.gold_table("order_items", RUN_DATE), gold_schema("order_items"))
+
+
+def csv_texts_kept(spark, sf_dir):
+    """Products whose names start and end with blanks, are empty or NULL, hold quotes and commas."""
+    folder = new_folder(spark, "texts")
+    kind, name = F.col("product_id") % 5, F.col("product_name")
+    odd = (
+        F.when(kind == 0, F.concat(F.lit("  "), name, F.lit(" "))).when(kind == 1, F.lit(""))
+        .when(kind == 2, F.lit(None)).when(kind == 3, F.concat(F.lit('say "'), name, F.lit('", twice'))).otherwise(name)
+    )
+    files.write(_raw_files(spark, sf_dir, "products").withColumn("product_name", odd), folder)
+    return files.scan(spark, folder, raw_schema("products"))
+
+
 # --- catalog -----------------------------------------------------------------------------
 
 
@@ -309,6 +332,8 @@ QUERIES: dict[str, Query] = {
     "medallion_order_items": _medallion("order_items", gold_format="parquet"),
     "medallion_output_counts": medallion_output_counts,
     "gold_files_without_products": gold_files_without_products,
+    "gold_csv_files_without_products": gold_csv_files_without_products,
+    "csv_texts_kept": csv_texts_kept,
     "external_customer": external_customer,
     "external_outputs": external_outputs,
     "id_high_water": id_high_water,

@@ -67,16 +67,14 @@ def run_gold(
     Valid orders and order lines are written once to the shared folder and read back by
     all outputs, so no join runs twice and a lost executor costs no recomputed joins. Once
     valid orders are there, a look at their ids tells whether one join per item is enough. Each run
-    has a folder of its own, so that overlapping runs of a day do not meet; it is freed also if a write fails.
+    has a folder of its own, so that overlapping runs of a day do not meet; it is removed also if a write fails.
     """
     folders = {name: zones.silver_table(name, run_date) for name in TABLES}
     silver = {name: scan_optional(spark, folder, silver_schema(name), layer_format) for name, folder in folders.items()}
     work = new_folder(spark, f"gold-{day(run_date)}")
-    shared = {}
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        shared[name] = staged(df, f"{work}/{name}")
-        return shared[name]
+        return staged(df, f"{work}/{name}")
 
     with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)):
         try:
@@ -85,7 +83,7 @@ def run_gold(
                 spark, lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold
             )
         finally:
-            together(spark, lambda name: release(shared[name], f"{work}/{name}"), shared)
+            release(spark, work)
 
 
 def run_day(

@@ -17,9 +17,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What stands for NULL besides an empty field: no text holds it, so that a quoted empty text stays a text.
+_NO_TEXT = "\x00"
+
+
 def _files(spark: SparkSession):
     """Reader of the folder's ``*.csv`` files; the folder is listed once, whatever the number of files."""
-    return spark.read.option("pathGlobFilter", "*.csv")
+    return spark.read.option("pathGlobFilter", "*.csv").option("nullValue", _NO_TEXT)
 
 
 def _header(spark: SparkSession, folder: str) -> list[str]:
@@ -144,6 +148,7 @@ def staged(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def release(stored: DataFrame, folder: str) -> None:
-    """Free the space of a staged table once its readers are done."""
-    write(stored.sparkSession.createDataFrame([], stored.schema), folder, "parquet")
+def release(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of staged tables once their readers are done; a missing one is fine."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -126,11 +126,11 @@ def test_staged_table_is_a_plain_scan(spark, fixture_tables, tmp_path):
     assert "Join" not in stored._jdf.queryExecution().toString()
 
 
-def test_released_table_takes_no_rows(spark, tmp_path):
-    folder = str(tmp_path / "staged")
-    stored = files.staged(spark.range(100), folder)
-    files.release(stored, folder)
-    assert files.scan(spark, folder, stored.schema, "parquet").count() == 0
+def test_released_folder_is_gone(spark, tmp_path):
+    files.staged(spark.range(100), str(tmp_path / "staged" / "one"))
+    for _ in range(2):
+        files.release(spark, str(tmp_path / "staged"))
+        assert not (tmp_path / "staged").exists()
 
 
 def test_zones_from_config():
@@ -192,3 +192,13 @@ def test_white_space_of_texts_stays(spark, tmp_path):
     names = spark.createDataFrame([(1, " lead "), (2, "trail  ")], "product_id long, product_name string")
     files.write(names, str(tmp_path / "p"))
     assert rows_of(files.scan(spark, str(tmp_path / "p"), names.schema)) == rows_of(names)
+
+
+def test_empty_texts_are_not_null(spark, tmp_path):
+    names = spark.createDataFrame([(1, ""), (2, None), (3, ' "a", b ')], "product_id long, product_name string")
+    files.write(names, str(tmp_path / "p"))
+    found = files.scan(spark, str(tmp_path / "p"), names.schema)
+    assert rows_of(found) == rows_of(names)
+    assert rows_of(found.filter("product_name = ''")) == [(1, "")]
+    put(tmp_path / "raw", "a.csv", f'{ORDERS}"",,7,"",""\n')
+    assert rows_of(files.scan(spark, str(tmp_path / "raw"), raw_schema("orders"))) == [(None, None, 7, None, "")]

@@ -138,3 +138,22 @@ def test_days_do_not_mix(spark, landed, tmp_path):
     zones = Zones(landed.raw, own.bronze, own.silver, own.gold)
     with pytest.raises(AnalysisException):
         jobs.run_bronze(spark, zones, "2025-02-21")
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_staged_tables_are_removed(spark, fixture_tables, tmp_path, monkeypatch, fails):
+    """The gold job leaves nothing in the shared folder, whether its writes succeed or not."""
+    zones = Zones.under(str(tmp_path / "zones"))
+    for name, df in fixture_tables.items():
+        files.write(df, zones.silver_table(name, DAY), "parquet")
+    monkeypatch.setattr(jobs, "new_folder", lambda spark, purpose: str(tmp_path / "shared" / purpose))
+    if fails:
+        def write_optional(df, folder, fmt):
+            assert list((tmp_path / "shared").iterdir())
+            raise OSError("disk full")
+        monkeypatch.setattr(jobs, "write_optional", write_optional)
+        with pytest.raises(OSError, match="disk full"):
+            jobs.run_gold(spark, zones, DAY)
+    else:
+        jobs.run_gold(spark, zones, DAY)
+    assert not list((tmp_path / "shared").iterdir())
