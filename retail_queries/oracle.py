@@ -117,6 +117,8 @@ _OUTPUT_COUNTS = " UNION ALL ".join(
     for name, source in _GOLD.items()
 )
 
+_UNPARSED = {"orders": "order_status = 'PENDING'", "order_items": "quantity > 33"}
+
 _KEYS = {"customers": "customer_id", "products": "product_id", "orders": "order_id", "order_items": "order_item_id"}
 
 _MARKS = {
@@ -188,6 +190,10 @@ ORACLE: dict[str, str] = {
 
 ORACLE |= {
     "gold_csv_files_without_products": ORACLE["gold_files_without_products"],
+    "bronze_unparsed_counts": _sql(" UNION ALL ".join(
+        f"SELECT '{label}' AS source_system, count(*) AS row_count, count(*) FILTER (WHERE {_UNPARSED.get(name, 'false')}) AS unparsed "
+        f"FROM raw_{name}" for name, label in SOURCE_SYSTEMS.items()
+    )),
     "csv_texts_kept": f"""
         SELECT product_id, CASE product_id % 5 WHEN 0 THEN '  ' || product_name || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL
             WHEN 3 THEN 'say "' || product_name || '", twice' ELSE product_name END AS product_name, category, price

@@ -154,6 +154,24 @@ def bronze_written_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), f"{SOURCE_SYSTEM} STRING, row_count BIGINT")
 
 
+def bronze_unparsed_counts(spark, sf_dir):
+    """Some dates and quantities are words; the bronze job counts them."""
+    zones = Zones.under(new_folder(spark, "zones"))
+    word = {
+        "orders": ("order_date", F.when(F.col("order_status") == "PENDING", "soon")),
+        "order_items": ("quantity", F.when(F.col("quantity") > 33, "many")),
+    }
+    for table in TABLES:
+        df = _raw_files(spark, sf_dir, table)
+        if table in word:
+            column, text = word[table]
+            df = df.withColumn(column, F.coalesce(text, F.col(column).cast("string")))
+        files.append(df, zones.raw_day(table, RUN_DATE))
+    landed = jobs.land_bronze(spark, zones, RUN_DATE)
+    rows = [(label, table.rows, table.unparsed) for label, table in landed.items()]
+    return spark.createDataFrame(rows, f"{SOURCE_SYSTEM} STRING, row_count BIGINT, unparsed BIGINT")
+
+
 def _medallion(output, **options) -> Query:
     """Raw files to gold files through all the layer jobs."""
     def query(spark, sf_dir):
@@ -334,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "gold_files_without_products": gold_files_without_products,
     "gold_csv_files_without_products": gold_csv_files_without_products,
     "csv_texts_kept": csv_texts_kept,
+    "bronze_unparsed_counts": bronze_unparsed_counts,
     "external_customer": external_customer,
     "external_outputs": external_outputs,
     "id_high_water": id_high_water,

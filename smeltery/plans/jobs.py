@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from smeltery.operators.quality import is_unique
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
@@ -19,11 +20,25 @@ from smeltery.sources.files import (
 from smeltery.sources.folders import Zones, day
 
 
-def read_raw(spark: SparkSession, zones: Zones, run_date: dt.date | str) -> dict[str, DataFrame]:
-    """The day's raw CSVs; customer files with and without ``city`` may be mixed."""
-    raw = {name: scan(spark, zones.raw_day(name, run_date), raw_schema(name)) for name in TABLES if name != "customers"}
+class Landed(NamedTuple):
+    """Rows written to a bronze table, and values of its files that are there but did not parse."""
+
+    rows: int
+    unparsed: int
+
+
+def read_raw(
+    spark: SparkSession, zones: Zones, run_date: dt.date | str, unparsed: Mapping[str, Observation] | None = None,
+) -> dict[str, DataFrame]:
+    """The day's raw CSVs; customer files with and without ``city`` may be mixed. ``unparsed`` has an observation a table."""
+    unparsed = unparsed or {}
+    raw = {
+        name: scan(spark, zones.raw_day(name, run_date), raw_schema(name), unparsed=unparsed.get(name))
+        for name in TABLES if name != "customers"
+    }
     raw["customers"] = scan_csv_variants(
-        spark, zones.raw_day("customers", run_date), raw_schema("customers"), [customers_without_city()]
+        spark, zones.raw_day("customers", run_date), raw_schema("customers"), [customers_without_city()],
+        unparsed.get("customers"),
     )
     return raw
 
@@ -35,17 +50,29 @@ def together(spark: SparkSession, write_one: Callable[[str], object], names: Ite
         return dict(zip(names, pool.map(inheritable_thread_target(spark)(write_one), names), strict=True))
 
 
-def run_bronze(
+def land_bronze(
     spark: SparkSession, zones: Zones, run_date: dt.date | str,
     ingested_at: Column | None = None, layer_format: str = "parquet",
-) -> dict[str, int]:
-    """Returns the rows written per source label, counted while writing."""
+) -> dict[str, Landed]:
+    """Returns rows and unparsed values per source label, both counted while writing."""
     with tuned(spark, *(zones.raw_day(name, run_date) for name in TABLES)):
-        bronze = to_bronze(read_raw(spark, zones, run_date), ingested_at)
+        unparsed = {name: Observation() for name in TABLES}
+        bronze = to_bronze(read_raw(spark, zones, run_date, unparsed), ingested_at)
         written = together(
             spark, lambda name: write_counted(bronze[name], zones.bronze_table(name, run_date), layer_format), bronze
         )
-        return {SOURCE_SYSTEMS[name]: rows for name, rows in written.items()}
+        return {
+            SOURCE_SYSTEMS[name]: Landed(rows, unparsed[name].get["unparsed"] or 0) for name, rows in written.items()
+        }
+
+
+def run_bronze(
+    spark: SparkSession, zones: Zones, run_date: dt.date | str,
+    ingested_at: Column | None = None, layer_format: str = "parquet",
+) -> dict[str, int]:
+    """Returns the rows written per source label, counted while writing."""
+    landed = land_bronze(spark, zones, run_date, ingested_at, layer_format)
+    return {label: table.rows for label, table in landed.items()}
 
 
 def run_silver(spark: SparkSession, zones: Zones, run_date: dt.date | str, layer_format: str = "parquet") -> None:

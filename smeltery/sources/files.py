@@ -2,8 +2,8 @@
 
 CSV types are declared by column name, never inferred: no inference pass over the data,
 stable types for header-only files, and a value that does not parse becomes NULL (and is
-dropped by the gates) instead of turning its column into text. Whole numbers may be written
-with a fraction of zeros, as in 3.0. Which columns there are is
+dropped by the gates, and counted where an observation is given) instead of turning its
+column into text. Whole numbers may be written with a fraction of zeros, as in 3.0. Which columns there are is
 up to the files, so that a column the feed forgot is seen to be missing.
 """
 
@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # What stands for NULL besides an empty field: no text holds it, so that a quoted empty text stays a text.
 _NO_TEXT = "\x00"
+_UNPARSED = "__unparsed"
 
 
 def _files(spark: SparkSession):
@@ -37,32 +38,47 @@ def _header(spark: SparkSession, folder: str) -> list[str]:
         return spark.read.option("header", True).csv(f"{folder}/*.csv").columns
 
 
-def _typed(fields: Sequence[T.StructField]) -> tuple[T.StructType, list]:
-    """(schema to read CSV with, columns with the wanted types): whole numbers are read as text."""
-    read = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.IntegralType) else f.dataType) for f in fields]
+def _value(f: T.StructField) -> Column:
+    """A column read as text, with its wanted type."""
+    text = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.StringType):
+        return text
+    text = F.trim(text)
+    if isinstance(f.dataType, T.IntegralType):
+        text = F.when(text.rlike(r"^[+-]?[0-9]+[.]0*$"), F.substring_index(text, ".", 1)).otherwise(text)
+    return text.try_cast(f.dataType).alias(f.name)
 
-    def value(f: T.StructField):
-        if not isinstance(f.dataType, T.IntegralType):
-            return F.col(f"`{f.name}`")
-        text, kind = F.trim(F.col(f"`{f.name}`")), f.dataType.simpleString()
-        whole = F.when(text.rlike(r"^[+-]?[0-9]+[.]0*$"), F.substring_index(text, ".", 1)).otherwise(text)
-        return whole.try_cast(kind).alias(f.name)
 
-    return T.StructType(read), [value(f) for f in fields]
+def _lost(fields: Sequence[T.StructField]) -> Column:
+    """How many of a row's values are there but do not parse."""
+    typed = [f for f in fields if not isinstance(f.dataType, T.StringType)]
+    lost = ((F.trim(F.col(f"`{f.name}`")) != "") & _value(f).isNull() for f in typed)
+    return sum((F.coalesce(one, F.lit(False)).cast("long") for one in lost), F.lit(0).cast("long"))
 
 
 def _csv(spark: SparkSession, fields: Sequence[T.StructField], paths: str | list[str]) -> DataFrame:
-    schema, columns = _typed(fields)
-    reader = _files(spark).schema(schema).option("header", True).option("enforceSchema", False)
-    return reader.csv(paths).select(*columns)
+    """The typed columns, then the count of lost values."""
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+    reader = _files(spark).schema(texts).option("header", True).option("enforceSchema", False)
+    return reader.csv(paths).select(*(_value(f) for f in fields), _lost(fields).alias(_UNPARSED))
 
 
-def scan(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame:
+def _observed(df: DataFrame, unparsed: Observation | None) -> DataFrame:
+    if unparsed is not None:
+        df = df.observe(unparsed, F.sum(_UNPARSED).alias("unparsed"))
+    return df.drop(_UNPARSED)
+
+
+def scan(
+    spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv",
+    unparsed: Observation | None = None,
+) -> DataFrame:
     """All files of one folder as one table, duplicates kept. A missing folder raises.
 
     ``schema`` gives the CSV and JSON types by column name; CSV columns it does not name are
     text. CSV files whose headers differ from each other raise when read, and so does a
-    folder without any ``*.csv``. Parquet files bring their own types.
+    folder without any ``*.csv``. Parquet files bring their own types. ``unparsed`` counts CSV
+    values that do not parse, in the pass of whoever uses the table.
     """
     if fmt == "parquet":
         return spark.read.parquet(folder)
@@ -71,7 +87,7 @@ def scan(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str
         return spark.read.schema(schema).format(fmt).load(folder)
     types = {f.name.lower(): f.dataType for f in schema}
     typed = [T.StructField(name, types.get(name.lower(), T.StringType())) for name in _header(spark, folder)]
-    return _csv(spark, typed, folder)
+    return _observed(_csv(spark, typed, folder), unparsed)
 
 
 def scan_optional(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame | None:
@@ -85,7 +101,8 @@ def scan_optional(spark: SparkSession, folder: str, schema: T.StructType | str,
 
 
 def scan_csv_variants(
-    spark: SparkSession, folder: str, schema: T.StructType, narrower: Sequence[T.StructType]
+    spark: SparkSession, folder: str, schema: T.StructType, narrower: Sequence[T.StructType],
+    unparsed: Observation | None = None,
 ) -> DataFrame:
     """CSV files of which some lack columns of ``schema``, aligned by name; the columns a file lacks are NULL.
 
@@ -100,14 +117,14 @@ def scan_csv_variants(
     found = headers.groupBy("file").agg(F.max("header").alias("header"), F.countDistinct("header").alias("n")).collect()
     strange = sorted(r["file"] for r in found if r["n"] != 1)
     if len(strange) == len(found):
-        return scan(spark, folder, schema)
+        return scan(spark, folder, schema, unparsed=unparsed)
     if strange:
         raise ValueError(f"unknown header in {strange[:3]}")
     by = {}
     for r in found:
         by.setdefault(r["header"], []).append(r["file"])
     parts = [_csv(spark, known[h].fields, folder if len(by) == 1 else files) for h, files in sorted(by.items())]
-    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    whole = _observed(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), unparsed)
     missing = [f for f in schema.fields if f.name not in whole.columns]
     whole = whole.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
     return whole.select(*schema.names)

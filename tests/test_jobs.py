@@ -157,3 +157,16 @@ def test_staged_tables_are_removed(spark, fixture_tables, tmp_path, monkeypatch,
     else:
         jobs.run_gold(spark, zones, DAY)
     assert not list((tmp_path / "shared").iterdir())
+
+
+def test_unparsed_values_are_counted(spark, fixture_tables, tmp_path):
+    zones = Zones.under(str(tmp_path))
+    for name, df in fixture_tables.items():
+        files.append(df.drop("timestamp"), zones.raw_day(name, DAY))
+    before = jobs.land_bronze(spark, zones, DAY)
+    assert {table.unparsed for table in before.values()} == {0}
+    bad = spark.createDataFrame([("x", "2025-13-01", "", "1,5", "SHIPPED"), ("1.0", "2025-02-20", None, "2", "n/a")], raw_schema("orders").names)
+    files.append(bad, zones.raw_day("orders", DAY))
+    after = jobs.land_bronze(spark, zones, DAY)
+    assert after.pop("Orders") == (before.pop("Orders").rows + 2, 3)
+    assert after == before
