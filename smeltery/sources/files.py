@@ -56,17 +56,24 @@ def _lost(fields: Sequence[T.StructField]) -> Column:
     return sum((F.coalesce(one, F.lit(False)).cast("long") for one in lost), F.lit(0).cast("long"))
 
 
-def _csv(spark: SparkSession, fields: Sequence[T.StructField], paths: str | list[str]) -> DataFrame:
-    """The typed columns, then the count of lost values."""
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
-    reader = _files(spark).schema(texts).option("header", True).option("enforceSchema", False)
-    return reader.csv(paths).select(*(_value(f) for f in fields), _lost(fields).alias(_UNPARSED))
+def _csv(spark: SparkSession, fields: Sequence[T.StructField], paths: str | list[str], counted: bool) -> DataFrame:
+    """The typed columns, and if counted the number of lost values.
+
+    To count them all values are read as text; else only whole numbers are, so that gates on amounts reach the scan.
+    """
+    as_text = [counted or isinstance(f.dataType, T.IntegralType) for f in fields]
+    read = [T.StructField(f.name, T.StringType() if text else f.dataType) for f, text in zip(fields, as_text, strict=True)]
+    reader = _files(spark).schema(T.StructType(read)).option("header", True).option("enforceSchema", False)
+    columns = [_value(f) if text else F.col(f"`{f.name}`") for f, text in zip(fields, as_text, strict=True)]
+    if counted:
+        columns.append(_lost(fields).alias(_UNPARSED))
+    return reader.csv(paths).select(*columns)
 
 
 def _observed(df: DataFrame, unparsed: Observation | None) -> DataFrame:
-    if unparsed is not None:
-        df = df.observe(unparsed, F.sum(_UNPARSED).alias("unparsed"))
-    return df.drop(_UNPARSED)
+    if unparsed is None:
+        return df
+    return df.observe(unparsed, F.sum(_UNPARSED).alias("unparsed")).drop(_UNPARSED)
 
 
 def scan(
@@ -87,7 +94,7 @@ def scan(
         return spark.read.schema(schema).format(fmt).load(folder)
     types = {f.name.lower(): f.dataType for f in schema}
     typed = [T.StructField(name, types.get(name.lower(), T.StringType())) for name in _header(spark, folder)]
-    return _observed(_csv(spark, typed, folder), unparsed)
+    return _observed(_csv(spark, typed, folder, unparsed is not None), unparsed)
 
 
 def scan_optional(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame | None:
@@ -123,7 +130,7 @@ def scan_csv_variants(
     by = {}
     for r in found:
         by.setdefault(r["header"], []).append(r["file"])
-    parts = [_csv(spark, known[h].fields, folder if len(by) == 1 else files) for h, files in sorted(by.items())]
+    parts = [_csv(spark, known[h].fields, folder if len(by) == 1 else files, unparsed is not None) for h, files in sorted(by.items())]
     whole = _observed(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), unparsed)
     missing = [f for f in schema.fields if f.name not in whole.columns]
     whole = whole.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
