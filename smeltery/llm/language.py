@@ -1,13 +1,16 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-A text is a row of segments: its words, longer ones cut. The network reads each segment from both ends and labels every
+A text is a row of segments: its words, longer ones cut between characters. The network reads each segment from both ends and labels every
 byte; a document's probabilities are the means over its letters. Equal segments get equal labels, so a task runs the
 network once for each distinct segment it holds.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +111,7 @@ class Model:
 
 
 def segments(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, texts' numbers): words at white space, cut every LONGEST bytes."""
+    """(starts, ends, texts' numbers): words at white space, cut every LONGEST bytes or at the start of the character there."""
     starts, ends, first = words_of(data, at, table("space"))
     of = np.repeat(np.arange(len(at) - 1), np.diff(first))
     long = ends - starts > LONGEST
@@ -116,8 +119,11 @@ def segments(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         pieces = -(-(ends - starts) // LONGEST)
         which = np.repeat(np.arange(len(starts)), pieces)
         step = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        starts, ends = starts[which] + step * LONGEST, np.minimum(starts[which] + (step + 1) * LONGEST, ends[which])
-        of = of[which]
+        cuts = starts[which] + step * LONGEST
+        for _ in range(3):
+            cuts -= (step > 0) & ((data[cuts] & 0xC0) == 0x80)
+        ends = np.where(np.append(step[1:], 0) > 0, np.append(cuts[1:], 0), ends[which])
+        starts, of = cuts, of[which]
     return starts, ends, of
 
 
@@ -132,9 +138,30 @@ def matrix(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     return x, y, lengths
 
 
+@cache
+def letters_of_unicode() -> np.ndarray:
+    """For each code point, whether it is a letter (general categories L*)."""
+    return np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
 def is_letter(data: np.ndarray) -> np.ndarray:
-    """Bytes of letters: a-z, A-Z and, of other alphabets, all bytes beyond ASCII."""
-    return (data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122)
+    """Bytes that belong to letters, of UTF-8 texts one after another."""
+    out = ((data | 32) >= 97) & ((data | 32) <= 122)
+    lead = np.flatnonzero(data >= 0xC2)
+    if not len(lead):
+        return out
+    first = data[lead].astype(np.int64)
+    more = 1 + (first >= 0xE0) + (first >= 0xF0)
+    point, whole = first & (0x3F >> more), first < 0xF5
+    for k in (1, 2, 3):
+        has, at = more >= k, lead + k
+        byte = data[np.minimum(at, len(data) - 1)].astype(np.int64)
+        whole &= ~has | (at < len(data)) & ((byte & 0xC0) == 0x80)
+        point = np.where(has, point << 6 | byte & 0x3F, point)
+    letter = whole & letters_of_unicode()[np.where(whole, np.minimum(point, sys.maxunicode), 0)]
+    for k in (0, 1, 2, 3):
+        out[lead[letter & (more >= k)] + k] = True
+    return out
 
 
 def fitted(texts: pa.Array, languages: list[str], seed: int = 5, hidden: int = HIDDEN, steps: int = STEPS) -> Model:
@@ -192,12 +219,14 @@ def fitted(texts: pa.Array, languages: list[str], seed: int = 5, hidden: int = H
 def _pooled(model: Model, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """For each segment the sums over its letters of the languages' probabilities."""
     out = np.zeros((len(starts), len(model.languages)))
-    order = np.argsort(starts - ends, kind="stable")
+    order, letters = np.argsort(starts - ends, kind="stable"), is_letter(data)
     for a in range(0, len(order), SEGMENTS):
         rows = order[a : a + SEGMENTS]
         x, y, lengths = matrix(data, starts[rows], ends[rows])
         p = model.labelled(x, y, lengths)[0]
-        out[rows] = np.einsum("tnl,tn->nl", p, is_letter(x).astype(np.float32))
+        step = np.arange(len(x))[:, None]
+        pooled = letters[np.minimum(starts[rows] + step, len(data) - 1)] & (step < lengths)
+        out[rows] = np.einsum("tnl,tn->nl", p, pooled.astype(np.float32))
     return out
 
 
