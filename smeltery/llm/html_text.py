@@ -1,8 +1,9 @@
 """Main text of web pages by tree scoring.
 
 A page is read into a tree. Each paragraph passes points for its length and commas to its ancestors, less with the
-distance; an ancestor's sum is discounted by the share of its text that stands in links. The best container is kept,
-with those of its siblings that carry text of their own, and its blocks are the main text.
+distance; an ancestor's sum is discounted by the share of its text that stands in links. The best container, or the
+article or main element around it, is kept, with those of its siblings that carry text of their own, and their blocks are
+the main text. Within a main or an outer article that goes for the siblings on each level.
 """
 
 from __future__ import annotations
@@ -196,21 +197,26 @@ def kept_nodes(nodes: list[Node]) -> list[Node]:
         return nodes[:1]
     final = {node: node.score * (1 - density(node)) for node in scored}
     best = max(scored, key=lambda n: (final[n], -n.order))
-    up = best
-    while up is not None and up.tag not in ("article", "main"):
-        up = up.parent
-    if up is not None:
-        return [up]
-    if best.parent is None:
-        return [best]
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    levels = [i for i, n in enumerate(above) if n.tag in ("article", "main")]
+    at, last = (levels[0], levels[-1]) if levels else (0, 0)
     least = max(0.2 * final[best], 1.0)
-    out = []
-    for child in best.parent.children:
-        if isinstance(child, str):
-            continue
-        carries = child.tag in ("p", "pre", "blockquote", "h1", "h2", "h3") and child.text > (0 if child.tag[0] == "h" else 25) and density(child) < 0.25
-        if child is best or final.get(child, 0.0) >= least or carries:
-            out.append(child)
+
+    def passes(node: Node | str) -> bool:
+        if isinstance(node, str):
+            return False
+        enough = 25 if node.tag in ("p", "pre", "blockquote", "article") else 0 if node.tag in ("h1", "h2", "h3", "header", "hgroup") else None
+        return final.get(node, 0.0) >= least or enough is not None and node.text > enough and density(node) < 0.25
+
+    out = [above[at]]
+    for node, parent in zip(above[at:], above[at + 1 :]):
+        here = parent.children.index(node)
+        out = [*filter(passes, parent.children[:here]), *out, *filter(passes, parent.children[here + 1 :])]
+        if at >= last and (parent.text > node.text or not levels):
+            break
+        at += 1
     return out
 
 
