@@ -12,7 +12,7 @@ from smeltery.llm.shared import staged
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, and those in which the network is sure of no language, go."""
+    """Documents without letters go; those with a language stay, however sure the network is of it."""
     return language.identified(docs)
 
 

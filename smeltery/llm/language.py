@@ -319,8 +319,9 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     return out.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
-def identified(docs: DataFrame, least: float = 0.35) -> DataFrame:
-    """The rows of docs, all columns, whose text has a language with at least that score."""
+def identified(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, whose text has a language, however sure the network is of it: one without letters
+    has none."""
     label, score = fresh(docs, "label"), fresh(docs, "score")
     found = labelled(docs, train(docs), docs.columns, label, score)
-    return found.filter((F.col(label) != "und") & (F.col(score) >= least)).drop(label, score)
+    return found.filter(F.col(label) != "und").drop(label, score)

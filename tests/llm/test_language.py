@@ -40,3 +40,12 @@ def test_letters_and_cuts_follow_characters():
         starts, ends, _ = language.segments(data, np.array([0, len(data)]))
         pieces = [data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)]
         assert "".join(pieces) == re.sub(r"[\x20\x09-\x0D]", "", text) and all(len(p.encode()) < language.LONGEST + 4 for p in pieces)
+
+
+def test_documents_with_a_language_stay(spark):
+    """Short clean documents whose words many languages share; no label gets a large share of them."""
+    rows = [(i, ["aba", "bab aba"][i % 5 % 2], f"l{i % 6}") for i in range(240)] + [(900, "12 — 3", None), (901, None, "l1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    scores = language.predicted(docs, language.train(docs)).filter("doc_id < 900 AND score < 0.35").count()
+    assert scores == 240
+    assert sorted(r["doc_id"] for r in language.identified(docs).collect()) == list(range(240))
