@@ -1,11 +1,11 @@
-"""Repeated passages by prefix-partitioned suffix trees.
-
-Every suffix of every text is placed by a prefix of its words: the suffix's window of 13 words has one rarest run of 6
-words in it, its anchor (the least of their hashes), and the windows around one anchor travel together. Suffixes whose
-anchor occurs in one document only are leaves and leave at once. Anchors that are frequent are too short a prefix: their
-windows are placed by all 13 words. So each group fits into a task's memory, where it becomes a subtree, level by level;
-the internal nodes that are 13 words deep are the repeats, and every leaf below one whose document is not the node's
-smallest is covered.
+"""Repeated passages by anchored windows, which stand in for prefix-partitioned suffix trees.
+
+Every window of 13 words of every text is placed by its anchor, the run of 6 words in it whose hash is least, wherever in
+the window it lies; the windows around one anchor travel together as one run of words. Windows whose anchor occurs in one
+document only leave at once. Windows of frequent anchors are placed by all 13 words instead. The two lengths are fixed. In
+a task the windows of a group are told apart in three rounds of hashes of 5, 5 and 3 words; windows that are equal to the
+last are a repeat, and those of all but its smallest document are covered. That answers which words stand in a repeat of
+13 words or more; longer repeats come out as overlapping windows, not as maximal repeats.
 """
 
 from __future__ import annotations
@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from smeltery.llm.shared import Hasher, chunks, lean, packed, staged, table, text_or_empty, unpacked, words_of
 
 WINDOW = 13
-ANCHOR = 6  # words of the shorter prefix
-STEP = 5  # words of an edge of the subtrees, the last one less
-FREQUENT = 1000  # occurrences from which an anchor is too short a prefix, at least
+ANCHOR = 6  # words
+STEP = 5  # words of a round of hashes, the last one less
+FREQUENT = 1000  # occurrences from which windows are placed by all their words, at least
 FREQUENT_ANCHORS = 50_000  # at most so many: their occurrences exceed that share of all
-HELD = 400_000  # words of subtrees built at once
+HELD = 400_000  # words of groups held at once
 LAST_ID = (1 << 63) - 1  # stands for a null doc_id, the largest
 
 
