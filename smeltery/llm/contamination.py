@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.llm.shared import chunks, fresh, lean, lowered, slices, table, words_of
+from smeltery.llm.shared import chunks, fresh, lean, lowered, slices, staged, table, words_of
 
 WINDOW = 13
 PATTERN_CHARS = 2_000_000  # in one automaton; about 100 MB in a task
@@ -75,17 +75,24 @@ def windows_of(item: str, text: str | None, size: int = WINDOW) -> Iterator[tupl
 
 
 def pattern_groups(benchmark: DataFrame, size: int = WINDOW, limit: int = PATTERN_CHARS) -> Iterator[dict[str, list[str]]]:
-    """The benchmark's windows in groups of at most limit characters (one at least); one group for usual benchmarks.
-    The driver holds one partition of the benchmark and one group at a time."""
-    windows, held = defaultdict(set), 0
-    for item, text in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).toLocalIterator():
-        for window, of in windows_of(item if item is not None else "", text, size):
-            if window not in windows and held + len(window) > limit and windows:
-                yield {w: sorted(of) for w, of in windows.items()}
-                windows, held = defaultdict(set), 0
-            held += 0 if window in windows else len(window)
-            windows[window].add(of)
-    yield {w: sorted(of) for w, of in windows.items()}
+    """The benchmark's windows in groups of about limit characters at most, dealt by their hashes; one group for usual
+    benchmarks. Tasks cut the windows, and the driver holds one group at a time."""
+
+    def run(batches):
+        for batch in batches:
+            rows = (w for item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) for w in windows_of(item or "", text, size))
+            while some := list(islice(rows, 10_000)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*some, strict=True)], ["window", "item"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    cut = staged(items.mapInArrow(lean(run), "window string, item string").groupBy("window").agg(F.collect_set("item").alias("items")), "windows")
+    n = -(-(cut.agg(F.sum(F.length("window"))).first()[0] or 0) // limit)
+    if n > 1:
+        number = F.pmod(F.xxhash64("window"), F.lit(n))
+        cut = staged(cut.withColumn("number", number).repartitionByRange("number").sortWithinPartitions("number"), "window-groups")
+    for i in range(max(1, n)):
+        found = (cut.filter(F.col("number") == i) if n > 1 else cut).select("window", "items").toArrow()
+        yield {w: sorted(of) for w, of in zip(found["window"].to_pylist(), found["items"].to_pylist(), strict=True)}
 
 
 def _scan(patterns, text_column: str, report: str, keep: list[str]):
@@ -130,17 +137,21 @@ def scanned(docs: DataFrame, benchmark: DataFrame, keep: list[str], report: str,
 
     Null texts have no words, and so have null items; a null item_id counts as the empty string. Rows with equal ids are
     scanned each for itself; items with one id count once. Benchmarks beyond limit characters of windows are scanned by
-    further automata in the same job, so what is broadcast at once stays bounded.
+    several automata, one pass each; what a pass has found is written to the shared folder with the rows before the next, so that one
+    automaton lives at a time.
     """
     spark, groups = docs.sparkSession, pattern_groups(benchmark, size, limit)
     found, patterns = docs.select(*dict.fromkeys([*keep, "text"])), next(groups)
-    while patterns is not None:
+    while True:
         shared, patterns = spark.sparkContext.broadcast(patterns), next(groups, None)
-        columns = found.columns if patterns else [*keep, report]
+        columns = found.columns if patterns is not None else keep
         columns = [c for c in columns if c != report]
         schema = T.StructType([docs.schema[c] for c in columns] + [T.StructField(report, REPORT)])
         found = found.mapInArrow(lean(_scan(shared, "text", report, columns)), schema)
-    return found
+        if patterns is None:
+            return found
+        found = staged(found, "scanned")
+        shared.unpersist()
 
 
 def n_hit(report: str) -> Column:
