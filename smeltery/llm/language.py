@@ -10,7 +10,6 @@ from __future__ import annotations
 import sys
 import unicodedata
 from dataclasses import dataclass, field
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -138,10 +137,14 @@ def matrix(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     return x, y, lengths
 
 
-@cache
-def letters_of_unicode() -> np.ndarray:
-    """For each code point, whether it is a letter (general categories L*)."""
-    return np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+def _letter_edges() -> np.ndarray:
+    """Code points at which runs of letters (general categories L*) start and, in turn, end."""
+    letter = np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(sys.maxunicode + 1)), np.int8, sys.maxunicode + 1)
+    return np.flatnonzero(np.diff(letter, prepend=0, append=0))
+
+
+# Tasks get it with the functions that use it; a cached function would be looked up by name, where the library is missing.
+LETTER_EDGES = _letter_edges()
 
 
 def is_letter(data: np.ndarray) -> np.ndarray:
@@ -158,7 +161,7 @@ def is_letter(data: np.ndarray) -> np.ndarray:
         byte = data[np.minimum(at, len(data) - 1)].astype(np.int64)
         whole &= ~has | (at < len(data)) & ((byte & 0xC0) == 0x80)
         point = np.where(has, point << 6 | byte & 0x3F, point)
-    letter = whole & letters_of_unicode()[np.where(whole, np.minimum(point, sys.maxunicode), 0)]
+    letter = whole & (np.searchsorted(LETTER_EDGES, point, "right") % 2 == 1)
     for k in (0, 1, 2, 3):
         out[lead[letter & (more >= k)] + k] = True
     return out
