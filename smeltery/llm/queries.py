@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import chat, contamination, exact_dups, html_text, language, mixing, near_dups, substring_dups, token_counts, toxicity
+from smeltery.llm import (
+    chat, contamination, exact_dups, hard_negatives, html_text, language, mixing, near_dups, substring_dups, token_counts, toxicity,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,10 +71,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the ids divisible by 100; ids divisible by 7 get the next label."""
+    rows = hard_negatives.quantised(_read(spark, sf_dir, "embeddings"))
+    next_label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", next_label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_chat_formatting, op3_toxicity, op4_exact_dedup, op5_language_id, op6_decontamination, op7_mixing,
-        op8_html_extraction, op9_substring_dedup, op10_token_counts,
+        op8_html_extraction, op9_substring_dedup, op10_token_counts, op13_hard_negatives,
     )
 }

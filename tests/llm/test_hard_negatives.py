@@ -1,0 +1,92 @@
+"""Hard negatives against plain loops over Python's whole numbers, and the residue arithmetic alone."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from smeltery.llm import hard_negatives as hn
+
+SCHEMA = "vec_id long, label int, embedding array<double>, rank int, vector string, row_part int"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 7, "x", 3) for r in rows], SCHEMA)
+
+
+def wanted(rows, anchor_every=100, low=30, high=90):
+    whole = set()
+    for i, label, v in rows:
+        if None not in (i, label, v) and all(x is not None and math.isfinite(x) for x in v):
+            whole.add((i, label, tuple(math.floor(256 * x) for x in v)))
+    dot = lambda a, b: sum(x * y for x, y in zip(a[2], b[2], strict=False))  # noqa: E731  (the longer one's rest is zero)
+    out = []
+    for a in (r for r in whole if r[0] % anchor_every == 0):
+        by_score = lambda r: (-dot(a, r), r[0])
+        for p in sorted((r for r in whole if r[1] == a[1] and r[0] != a[0]), key=by_score)[:5]:
+            s = dot(a, p)
+            inside = (r for r in whole if r[1] != a[1] and low * s <= 100 * dot(a, r) <= high * s)
+            out += [(a[0], p[0], k + 1, r[0], s, dot(a, r)) for k, r in enumerate(sorted(inside, key=by_score)[:10])]
+    return sorted(out)
+
+
+def found(spark, rows):
+    return sorted(map(tuple, hn.hard_negatives(hn.quantised(table(spark, rows)), F.col("vec_id") % 100 == 0).collect()))
+
+
+def odd_rows():
+    """Nulls, infinities, repeated rows, ties, an id given twice, zero, short and empty vectors, a hot vector."""
+    rng = random.Random(3)
+    vector = lambda d=6: [rng.uniform(-1, 1) for _ in range(d)]
+    rows = [(i * 10, rng.randint(0, 3), vector()) for i in range(120)]
+    rows += [(i, 1, [0.5] * 6) for i in range(2000, 2060)] + [(i, 2, [0.25] * 6) for i in range(3000, 3040)]
+    rows += [rows[0], rows[0], rows[55], (100, 1, vector()), (100, 1, vector()), (205, 0, vector(3)), (300, 0, []), (400, 2, vector(9))]
+    rows += [(500, None, vector()), (600, 1, None), (None, 1, vector()), (700, 1, [0.1, None]), (800, 1, [math.nan, 1.0])]
+    return rows + [(900, 1, [math.inf, 1.0]), (901, 1, [-math.inf]), (-100, 3, vector()), (1100, 0, [0.0] * 6), (1300, 77, vector())]
+
+
+def test_hard_negatives_against_plain_loops(spark):
+    assert found(spark, odd_rows()) == wanted(odd_rows())
+    assert found(spark, []) == []
+
+
+def test_cells_and_tiles_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(hn, "ROWS", 9)
+    monkeypatch.setattr(hn, "ANCHORS", 4)
+    monkeypatch.setattr(hn, "SCORES", 16)
+    assert found(spark, odd_rows()) == wanted(odd_rows())
+
+
+def test_large_components_stay_exact(spark):
+    rng = random.Random(8)
+    rows = [(i * 50, i % 2, [rng.uniform(-1, 1) * 1e6 for _ in range(8)]) for i in range(40)]
+    assert found(spark, rows) == wanted(rows)
+    with pytest.raises(ValueError, match="do not fit"):
+        found(spark, [*rows, (7, 1, [1e30])])
+
+
+@pytest.mark.parametrize("bound", [1, 10**5, 10**12, 2**62])
+def test_residues_give_signed_numbers_back(bound):
+    rng = random.Random(bound)
+    primes = hn.primes_for(bound)
+    numbers = [0, bound, -bound, 1, -1, *(rng.randint(-bound, bound) for _ in range(200))]
+    back = hn.reconstructed([np.array([[n % p for n in numbers]], np.int32) for p in primes], primes)
+    assert back.tolist() == [numbers]
+
+
+def test_products_in_float32_are_exact():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(-(10**6), 10**6, (30, 700)), rng.integers(-(10**6), 10**6, (40, 700))
+    a[0], b[0] = 255, 255
+    for p in hn.primes_for(10**15):
+        got = hn.product_modulo(hn.residues(a, p), hn.residues(b, p), p)
+        assert (got == (a @ b.T) % p).all()
+
+
+def test_first_of_prefers_small_columns_among_equals():
+    scores = np.array([[5, 7, 7, 7, 1], [2, 2, 2, 2, 2], [9, 8, 7, 6, 5]])
+    allowed = np.array([[1, 0, 1, 1, 1], [1, 1, 1, 1, 1], [0, 0, 0, 0, 0]], bool)
+    at, of = hn.first_of(scores, allowed, 2)
+    assert list(zip(at.tolist(), of.tolist(), strict=True)) == [(0, 2), (0, 3), (1, 0), (1, 1)]
