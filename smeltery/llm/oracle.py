@@ -88,6 +88,36 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+_OP11 = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array({_LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 5) AS t(k)) GROUP BY ALL
+),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, c.cut, x.f AS l, y.f AS r,
+    (2000000::HUGEINT * c.f) // (x.f::HUGEINT + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN f x ON x.lang = c.lang AND x.k = c.cut AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - c.cut AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, k - s + 2)) AS i FROM candidates, range(2, 4) AS t(s) WHERE s < k) GROUP BY ALL
+)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1) JOIN n USING (lang)
+LEFT JOIN inside USING (lang, phrase)
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))
+QUALIFY row_number() OVER w <= 2000
+"""
+
 _OP13 = """
 WITH v AS (
   SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
@@ -117,5 +147,6 @@ ORACLE: dict[str, str] = {
     "op4_exact_dedup": _OP4,
     "op6_decontamination": _OP6,
     "op9_substring_dedup": _OP9,
+    "op11_collocations": _OP11,
     "op13_hard_negatives": _OP13,
 }
