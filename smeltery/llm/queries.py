@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.llm import (
-    chat, collocations, contamination, exact_dups, hard_negatives, html_text, language, mixing, near_dups, substring_dups, token_counts, toxicity,
+    chat, collocations, contamination, exact_dups, fingerprints, hard_negatives, html_text, language, mixing, near_dups, substring_dups, token_counts, toxicity,
 )
 
 
@@ -75,6 +75,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_read(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return fingerprints.compared_with_next(docs, fingerprints.rarity(docs))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors are the ids divisible by 100; ids divisible by 7 get the next label."""
     rows = hard_negatives.quantised(_read(spark, sf_dir, "embeddings"))
@@ -86,6 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_dedup, op2_chat_formatting, op3_toxicity, op4_exact_dedup, op5_language_id, op6_decontamination, op7_mixing,
-        op8_html_extraction, op9_substring_dedup, op10_token_counts, op11_collocations, op13_hard_negatives,
+        op8_html_extraction, op9_substring_dedup, op10_token_counts, op11_collocations, op12_fingerprints, op13_hard_negatives,
     )
 }
