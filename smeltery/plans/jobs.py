@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from smeltery.operators.quality import is_unique
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
-from smeltery.schemas import SOURCE_SYSTEMS, TABLES, bronze_schema, customers_without_city, raw_schema, silver_schema
+from smeltery.schemas import MARTS, SOURCE_SYSTEMS, TABLES, bronze_schema, customers_without_city, raw_schema, silver_schema
 from smeltery.session import new_folder, tuned
+from smeltery.sources import commits
 from smeltery.sources.files import (
     release, scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional,
 )
@@ -50,6 +51,14 @@ def together(spark: SparkSession, write_one: Callable[[str], object], names: Ite
         return dict(zip(names, pool.map(inheritable_thread_target(spark)(write_one), names), strict=True))
 
 
+def standing(spark: SparkSession, zones: Zones, layer: str, run_date: dt.date | str) -> dict[str, str]:
+    """Folders of a layer's tables of the day as its last run left them, without those that this run did not have."""
+    table = {"bronze": zones.bronze_table, "silver": zones.silver_table, "gold": zones.gold_table}[layer]
+    names = MARTS if layer == "gold" else TABLES
+    found = commits.current(spark, zones.log(layer, run_date), {name: table(name, run_date) for name in names})
+    return {name: folder for name, folder in found.items() if folder is not None}
+
+
 def land_bronze(
     spark: SparkSession, zones: Zones, run_date: dt.date | str,
     ingested_at: Column | None = None, layer_format: str = "parquet",
@@ -58,9 +67,9 @@ def land_bronze(
     with tuned(spark, *(zones.raw_day(name, run_date) for name in TABLES)):
         unparsed = {name: Observation() for name in TABLES}
         bronze = to_bronze(read_raw(spark, zones, run_date, unparsed), ingested_at)
-        written = together(
-            spark, lambda name: write_counted(bronze[name], zones.bronze_table(name, run_date), layer_format), bronze
-        )
+        finals = {name: zones.bronze_table(name, run_date) for name in TABLES}
+        with commits.replacing(spark, zones.log("bronze", run_date), finals) as run:
+            written = together(spark, lambda name: write_counted(bronze[name], run.folders[name], layer_format), bronze)
         return {
             SOURCE_SYSTEMS[name]: Landed(rows, unparsed[name].get["unparsed"] or 0) for name, rows in written.items()
         }
@@ -76,13 +85,15 @@ def run_bronze(
 
 
 def run_silver(spark: SparkSession, zones: Zones, run_date: dt.date | str, layer_format: str = "parquet") -> None:
-    """All four bronze tables must be there."""
-    folders = {name: zones.bronze_table(name, run_date) for name in TABLES}
+    """All four bronze tables must be there; the four silver tables are replaced together."""
+    folders = standing(spark, zones, "bronze", run_date)
     with tuned(spark, *folders.values()):
         silver = to_silver(
             {name: scan(spark, folder, bronze_schema(name), layer_format) for name, folder in folders.items()}
         )
-        together(spark, lambda name: write(silver[name], zones.silver_table(name, run_date), layer_format), silver)
+        finals = {name: zones.silver_table(name, run_date) for name in TABLES}
+        with commits.replacing(spark, zones.log("silver", run_date), finals) as run:
+            together(spark, lambda name: write(silver[name], run.folders[name], layer_format), silver)
 
 
 def run_gold(
@@ -91,13 +102,19 @@ def run_gold(
 ) -> dict[str, bool]:
     """Returns which of the five outputs were written; a missing silver table is no error.
 
+    The outputs of one run replace those of the last together: what this one does not have is missing afterwards, and a
+    run that fails changes nothing.
+
     Valid orders and order lines are written once to the shared folder and read back by
     all outputs, so no join runs twice and a lost executor costs no recomputed joins. Once
     valid orders are there, a look at their ids tells whether one join per item is enough. Each run
     has a folder of its own, so that overlapping runs of a day do not meet; it is removed also if a write fails.
     """
-    folders = {name: zones.silver_table(name, run_date) for name in TABLES}
-    silver = {name: scan_optional(spark, folder, silver_schema(name), layer_format) for name, folder in folders.items()}
+    folders = standing(spark, zones, "silver", run_date)
+    silver = {
+        name: scan_optional(spark, folders[name], silver_schema(name), layer_format) if name in folders else None
+        for name in TABLES
+    }
     work = new_folder(spark, f"gold-{day(run_date)}")
 
     def stage(name: str, df: DataFrame) -> DataFrame:
@@ -106,9 +123,11 @@ def run_gold(
     with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)):
         try:
             gold = to_gold(silver, stage=stage, check=lambda valid: is_unique(valid, "order_id"))
-            return together(
-                spark, lambda name: write_optional(gold[name], zones.gold_table(name, run_date), gold_format), gold
-            )
+            finals = {name: zones.gold_table(name, run_date) for name in gold}
+            with commits.replacing(spark, zones.log("gold", run_date), finals) as run:
+                written = together(spark, lambda name: write_optional(gold[name], run.folders[name], gold_format), gold)
+                run.leave_out(*(name for name, was in written.items() if not was))
+            return written
         finally:
             release(spark, work)
 

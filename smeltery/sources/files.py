@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smeltery.sources import commits
+
 # What stands for NULL besides an empty field: no text holds it, so that a quoted empty text stays a text.
 _NO_TEXT = "\x00"
 _UNPARSED = "__unparsed"
@@ -87,6 +89,7 @@ def scan(
     folder without any ``*.csv``. Parquet files bring their own types. ``unparsed`` counts CSV
     values that do not parse, in the pass of whoever uses the table.
     """
+    folder = commits.standing(spark, folder)
     if fmt == "parquet":
         return spark.read.parquet(folder)
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -117,6 +120,7 @@ def scan_csv_variants(
     headers; a file without one of them raises ValueError, but for folders in which no file has one: these are
     scanned as they are.
     """
+    folder = commits.standing(spark, folder)
     known = {",".join(variant.names): variant for variant in (schema, *narrower)}
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
     line = F.regexp_replace("value", r'["\ufeff\r]', "")
@@ -138,7 +142,23 @@ def scan_csv_variants(
 
 
 def write(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite") -> None:
-    """Replace the table in ``folder``. Files are as many as ``df`` has partitions."""
+    """Replace the table in ``folder``, once the new one is whole: a write that fails leaves the old one, or none where
+    there was none. Files are as many as ``df`` has partitions."""
+    if mode != "overwrite":
+        return _save(df, folder, fmt, mode)
+    spark = df.sparkSession
+    known = commits.Files(spark, folder)
+    target = commits.new_sibling(folder) if known.exists(commits.standing(spark, folder)) else folder
+    try:
+        _save(df, target, fmt, "overwrite")
+    except BaseException:
+        known.delete(target)
+        raise
+    if target != folder:
+        commits.put(spark, target, folder)
+
+
+def _save(df: DataFrame, folder: str, fmt: str, mode: str) -> None:
     writer = df.write.mode(mode)
     if fmt == "csv":
         keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -168,7 +188,7 @@ def append(df: DataFrame, folder: str, fmt: str = "csv") -> None:
 
 def staged(df: DataFrame, folder: str) -> DataFrame:
     """Write ``df`` once and hand back the written table, which cuts its lineage."""
-    write(df, folder, "parquet")
+    _save(df, folder, "parquet", "errorifexists")
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

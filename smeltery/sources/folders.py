@@ -47,3 +47,7 @@ class Zones:
 
     def gold_table(self, table: str, run_date: dt.date | str) -> str:
         return f"{self.gold}/{MARTS[table]}/{day(run_date)}/{table}"
+
+    def log(self, layer: str, run_date: dt.date | str) -> str:
+        """Where the runs of a layer's day are recorded; scans of the zone pass over it."""
+        return f"{getattr(self, layer)}/_runs/{day(run_date)}"
