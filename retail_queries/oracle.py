@@ -188,7 +188,41 @@ ORACLE: dict[str, str] = {
     "id_high_water": _sql("SELECT table_name, last_id, last_id + 1 AS next_id FROM marks", **_MARKS),
 }
 
+_BREAKS = f"""
+    SELECT product_id, CASE product_id % 6 WHEN 0 THEN chr(10) || product_name || chr(10)
+        WHEN 1 THEN product_name || chr(13) || chr(10) || product_name
+        WHEN 2 THEN 'say "' || chr(10) || product_name || '",' || chr(10) || '"twice"'
+        WHEN 3 THEN product_name || chr(92) || chr(10) || chr(92)
+        WHEN 4 THEN product_name || chr(13) || product_name ELSE product_name END AS product_name, category, price
+    FROM ({_RAW["raw_products"]}) AS a"""
+
+
+def _rule(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '{column}_missing' WHEN NOT {column} > 0 THEN '{column}_not_positive' END"
+
+
+_RULES = {
+    name: f"nullif(concat_ws('+', {', '.join(_rule(gate.split()[0]) for gate in gates.split(' AND '))}), '')"
+    if gates != "true" else "CAST(NULL AS VARCHAR)"
+    for name, gates in _GATES.items()
+}
+
 ORACLE |= {
+    "csv_line_breaks": _BREAKS,
+    "medallion_line_breaks": _table("fact_sales", raw_products=_BREAKS),
+    "csv_failed_overwrite_orders": _table("raw_orders"),
+    "gold_rerun_without_products": _sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {present} AS present, {'count(*)' if present else 'CAST(0 AS BIGINT)'} AS row_count"
+        + (f" FROM {source}" if present else "")
+        for name, source in _GOLD.items() for present in [name not in ("fact_sales", "products")]
+    )),
+    "rejected_order_items": _sql(
+        f"SELECT * FROM (SELECT *, {_RULES['order_items']} AS rejected_by FROM raw_order_items) AS a WHERE rejected_by IS NOT NULL"
+    ),
+    "routed_silver_counts": _sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {rule} AS rejected_by, count(*) AS row_count FROM raw_{name} GROUP BY ALL"
+        for name, rule in _RULES.items()
+    )),
     "gold_csv_files_without_products": ORACLE["gold_files_without_products"],
     "bronze_unparsed_counts": _sql(" UNION ALL ".join(
         f"SELECT '{label}' AS source_system, count(*) AS row_count, count(*) FILTER (WHERE {_UNPARSED.get(name, 'false')}) AS unparsed "

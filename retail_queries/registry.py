@@ -13,9 +13,10 @@ from retail_queries import adapter
 from smeltery.functions.rules import day_folder, line_total, run_day
 from smeltery.operators import sales
 from smeltery.operators.audit import row_counts
+from smeltery.operators.quality import REJECTED_BY
 from smeltery.plans import batches, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
-from smeltery.schemas import MARTS, SOURCE_SYSTEM, TABLES, customers_without_city, gold_schema, raw_schema
+from smeltery.schemas import MARTS, SOURCE_SYSTEM, TABLES, customers_without_city, gold_schema, raw_schema, silver_schema
 from smeltery.session import new_folder
 from smeltery.sources import external, files
 from smeltery.sources.folders import Zones
@@ -230,6 +231,96 @@ def csv_texts_kept(spark, sf_dir):
     return files.scan(spark, folder, raw_schema("products"))
 
 
+def csv_line_breaks(spark, sf_dir):
+    """Products whose names hold line breaks of every kind, next to quotes, commas and backslashes."""
+    folder = new_folder(spark, "breaks")
+    files.write(_raw_files(spark, sf_dir, "products").withColumn("product_name", _with_breaks()), folder)
+    return files.scan(spark, folder, raw_schema("products"))
+
+
+def _with_breaks() -> Column:
+    kind, name = F.col("product_id") % 6, F.col("product_name")
+    return (
+        F.when(kind == 0, F.concat(F.lit("\n"), name, F.lit("\n"))).when(kind == 1, F.concat(name, F.lit("\r\n"), name))
+        .when(kind == 2, F.concat(F.lit('say "\n'), name, F.lit('",\n"twice"'))).when(kind == 3, F.concat(name, F.lit("\\\n\\")))
+        .when(kind == 4, F.concat(name, F.lit("\r"), name)).otherwise(name)
+    )
+
+
+def medallion_line_breaks(spark, sf_dir):
+    """The fact through CSV layers, with product names of several lines."""
+    zones = Zones.under(new_folder(spark, "zones"))
+    for table in TABLES:
+        df = _raw_files(spark, sf_dir, table)
+        files.append(df.withColumn("product_name", _with_breaks()) if table == "products" else df, zones.raw_day(table, RUN_DATE))
+    jobs.run_day(spark, zones, RUN_DATE, layer_format="csv")
+    return files.scan(spark, zones.gold_table("fact_sales", RUN_DATE), gold_schema("fact_sales"))
+
+
+# --- runs that fail, or have less than the last one --------------------------------------------
+
+
+def csv_failed_overwrite_orders(spark, sf_dir):
+    """A second write breaks off at pending orders: the rows of the first one stay."""
+    folder = new_folder(spark, "failed")
+    orders = _raw_files(spark, sf_dir, "orders")
+    files.write(orders, folder)
+    broken = F.when(F.col("order_status") == "PENDING", F.raise_error(F.lit("broken off"))).otherwise(F.col("order_status"))
+    try:
+        files.write(orders.withColumn("order_status", broken.cast("string")), folder)
+    except Exception as error:  # noqa: BLE001  (the error's class depends on where it comes up)
+        if "broken off" not in str(error):
+            raise
+    else:
+        raise AssertionError("the second write went through")
+    return files.scan(spark, folder, raw_schema("orders"))
+
+
+def gold_rerun_without_products(spark, sf_dir):
+    """The day runs whole, and once more without products: the fact and the products of the first run are gone."""
+    zones = _landed(spark, sf_dir)
+    jobs.run_day(spark, zones, RUN_DATE)
+    files.release(spark, zones.silver_table("products", RUN_DATE))
+    jobs.run_gold(spark, zones, RUN_DATE)
+
+    def line(name: str) -> DataFrame:
+        found = files.scan_optional(spark, zones.gold_table(name, RUN_DATE), gold_schema(name))
+        rows = spark.createDataFrame([], gold_schema(name)) if found is None else found
+        return rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit(found is not None).alias("present"), "row_count"
+        )
+
+    return reduce(DataFrame.unionAll, map(line, MARTS))
+
+
+def _routed(spark, sf_dir, fmt):
+    zones = Zones.under(new_folder(spark, "zones"))
+    for name, df in _bronze(spark, sf_dir).items():
+        files.write(df.withColumn("timestamp", F.col("timestamp").cast("timestamp")), zones.bronze_table(name, RUN_DATE), fmt)
+    return zones, jobs.run_routed_silver(spark, zones, RUN_DATE, fmt)
+
+
+def rejected_order_items(spark, sf_dir):
+    """The items that the gates reject, as kept beside silver in Parquet, with the rules that they fail."""
+    zones, _ = _routed(spark, sf_dir, "parquet")
+    found = files.scan_rejected(spark, zones.rejected_table("order_items", RUN_DATE), REJECTED_BY, silver_schema("order_items"), "parquet")
+    return found.drop("timestamp")
+
+
+def routed_silver_counts(spark, sf_dir):
+    """Rows of both kinds in the CSV folders, by table and rule."""
+    zones, _ = _routed(spark, sf_dir, "csv")
+
+    def both(name: str) -> DataFrame:
+        schema = silver_schema(name)
+        kept = files.scan(spark, zones.silver_table(name, RUN_DATE), schema).select(F.lit(None).cast("string").alias(REJECTED_BY))
+        gone = files.scan_rejected(spark, zones.rejected_table(name, RUN_DATE), REJECTED_BY, schema).select(REJECTED_BY)
+        counts = kept.unionAll(gone).groupBy(REJECTED_BY).agg(F.count(F.lit(1)).alias("row_count"))
+        return counts.select(F.lit(name).alias("table_name"), REJECTED_BY, "row_count")
+
+    return reduce(DataFrame.unionAll, map(both, TABLES))
+
+
 # --- catalog -----------------------------------------------------------------------------
 
 
@@ -353,6 +444,12 @@ QUERIES: dict[str, Query] = {
     "gold_csv_files_without_products": gold_csv_files_without_products,
     "csv_texts_kept": csv_texts_kept,
     "bronze_unparsed_counts": bronze_unparsed_counts,
+    "csv_line_breaks": csv_line_breaks,
+    "medallion_line_breaks": medallion_line_breaks,
+    "csv_failed_overwrite_orders": csv_failed_overwrite_orders,
+    "gold_rerun_without_products": gold_rerun_without_products,
+    "rejected_order_items": rejected_order_items,
+    "routed_silver_counts": routed_silver_counts,
     "external_customer": external_customer,
     "external_outputs": external_outputs,
     "id_high_water": id_high_water,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.functions.rules import positive
@@ -31,6 +32,27 @@ def keep_valid(table: str, df: DataFrame) -> DataFrame:
     return df.filter(positive(*gated)) if gated else df
 
 
+REJECTED_BY = "rejected_by"
+
+
+def rejected_by(table: str) -> Column:
+    """The rules of ``table`` that a row fails, by name and joined by ``+``; NULL for a row that keep_valid() keeps.
+
+    A gated amount is either ``<column>_missing`` (NULL, also where a value did not parse) or ``<column>_not_positive``.
+    """
+    failed = [
+        F.when(F.col(c).isNull(), F.lit(f"{c}_missing")).when(~positive(c), F.lit(f"{c}_not_positive"))
+        for c in POSITIVE_COLUMNS[table]
+    ]
+    return F.nullif(F.concat_ws("+", *failed), F.lit("")) if failed else F.lit(None).cast("string")
+
+
+def verdicts(table: str) -> list[str]:
+    """Every text that rejected_by() can give."""
+    states = ([None, f"{c}_missing", f"{c}_not_positive"] for c in POSITIVE_COLUMNS[table])
+    return [text for rules in product(*states) if (text := "+".join(filter(None, rules)))]
+
+
 def has_column(df: DataFrame | None, name: str) -> bool:
     return df is not None and name in df.columns
 

@@ -10,13 +10,13 @@ from typing import NamedTuple
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-from smeltery.operators.quality import is_unique
-from smeltery.plans.layers import to_bronze, to_gold, to_silver
+from smeltery.operators.quality import REJECTED_BY, is_unique, verdicts
+from smeltery.plans.layers import to_bronze, to_gold, to_routed_silver, to_silver
 from smeltery.schemas import MARTS, SOURCE_SYSTEMS, TABLES, bronze_schema, customers_without_city, raw_schema, silver_schema
 from smeltery.session import new_folder, tuned
 from smeltery.sources import commits
 from smeltery.sources.files import (
-    release, scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional,
+    release, scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional, write_routed,
 )
 from smeltery.sources.folders import Zones, day
 
@@ -96,6 +96,32 @@ def run_silver(spark: SparkSession, zones: Zones, run_date: dt.date | str, layer
             together(spark, lambda name: write(silver[name], run.folders[name], layer_format), silver)
 
 
+def run_routed_silver(
+    spark: SparkSession, zones: Zones, run_date: dt.date | str, layer_format: str = "parquet",
+) -> dict[str, dict[str | None, int]]:
+    """Silver as run_silver() writes it, and beside it the rows that the gates reject, partitioned by the rules they fail.
+
+    Every bronze row is in one of the two, which one pass writes. Returns per table the rows of each verdict; NULL is for the
+    accepted ones. A day's tables of both kinds are replaced together.
+    """
+    folders = standing(spark, zones, "bronze", run_date)
+    with tuned(spark, *folders.values()):
+        routed = to_routed_silver(
+            {name: scan(spark, folder, bronze_schema(name), layer_format) for name, folder in folders.items()}
+        )
+        finals = {name: zones.silver_table(name, run_date) for name in TABLES}
+        finals |= {f"rejected_{name}": zones.rejected_table(name, run_date) for name in TABLES}
+
+        def write_one(name: str) -> dict[str | None, int]:
+            where = run.folders[name], run.folders[f"rejected_{name}"]
+            return write_routed(routed[name], REJECTED_BY, verdicts(name), *where, layer_format)
+
+        with commits.replacing(spark, zones.log("silver", run_date), finals) as run:
+            found = together(spark, write_one, routed)
+            run.leave_out(*(f"rejected_{name}" for name, rows in found.items() if set(rows) <= {None}))
+        return found
+
+
 def run_gold(
     spark: SparkSession, zones: Zones, run_date: dt.date | str, *,
     layer_format: str = "parquet", gold_format: str = "csv",

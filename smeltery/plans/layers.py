@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from smeltery.operators import sales
 from smeltery.operators.audit import with_audit
-from smeltery.operators.quality import drop_columns, keep_valid, require_columns
+from smeltery.operators.quality import REJECTED_BY, drop_columns, keep_valid, rejected_by, require_columns
 from smeltery.schemas import AUDIT_TIME, SOURCE_SYSTEM, SOURCE_SYSTEMS
 
 Tables = Mapping[str, DataFrame]
@@ -25,6 +25,14 @@ def to_silver(bronze: Tables) -> dict[str, DataFrame]:
     return {name: drop_columns(keep_valid(name, df), SOURCE_SYSTEM) for name, df in bronze.items()}
 
 
+def to_routed_silver(bronze: Tables) -> dict[str, DataFrame]:
+    """All bronze rows in silver columns, with the rules that they fail: NULL for those that to_silver() keeps."""
+    require_columns(bronze)
+    return {
+        name: drop_columns(df, SOURCE_SYSTEM).withColumn(REJECTED_BY, rejected_by(name)) for name, df in bronze.items()
+    }
+
+
 def _in_place(name: str, df: DataFrame) -> DataFrame:
     return df
 

@@ -41,6 +41,8 @@ class Files:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(folder))) if self.exists(folder) else []
 
     def rename(self, source: str, target: str) -> bool:
+        if not self.exists(source):
+            return False
         self._fs.mkdirs(self._path(target).getParent())
         return self._fs.rename(self._path(source), self._path(target))
 

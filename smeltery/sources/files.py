@@ -4,24 +4,31 @@ CSV types are declared by column name, never inferred: no inference pass over th
 stable types for header-only files, and a value that does not parse becomes NULL (and is
 dropped by the gates, and counted where an observation is given) instead of turning its
 column into text. Whole numbers may be written with a fraction of zeros, as in 3.0. Which columns there are is
-up to the files, so that a column the feed forgot is seen to be missing.
+up to the files, so that a column the feed forgot is seen to be missing. Quoted texts may hold line breaks.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.sources import commits
+from smeltery.sources import commits, records
 
 # What stands for NULL besides an empty field: no text holds it, so that a quoted empty text stays a text.
 _NO_TEXT = "\x00"
 _UNPARSED = "__unparsed"
+# Fixed value: the name Spark gives the partition of NULL.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Beside the files of a written CSV table: whether their texts hold line breaks. Scans pass over it.
+_NOTE = "_line_breaks"
 
 
 def _files(spark: SparkSession):
@@ -58,18 +65,45 @@ def _lost(fields: Sequence[T.StructField]) -> Column:
     return sum((F.coalesce(one, F.lit(False)).cast("long") for one in lost), F.lit(0).cast("long"))
 
 
-def _csv(spark: SparkSession, fields: Sequence[T.StructField], paths: str | list[str], counted: bool) -> DataFrame:
+def _csv(
+    spark: SparkSession, fields: Sequence[T.StructField], paths: str | list[str], counted: bool, broken: bool,
+) -> DataFrame:
     """The typed columns, and if counted the number of lost values.
 
-    To count them all values are read as text; else only whole numbers are, so that gates on amounts reach the scan.
+    To count them all values are read as text; else only whole numbers are, so that gates on amounts reach the scan. With
+    broken lines, records are put together first.
     """
     as_text = [counted or isinstance(f.dataType, T.IntegralType) for f in fields]
     read = [T.StructField(f.name, T.StringType() if text else f.dataType) for f, text in zip(fields, as_text, strict=True)]
-    reader = _files(spark).schema(T.StructType(read)).option("header", True).option("enforceSchema", False)
+    if broken:
+        found = records.records(spark, paths, [f.name for f in fields])
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read)
+        rows = found.select(F.from_csv("value", kinds, {"nullValue": _NO_TEXT}).alias("row")).select("row.*")
+    else:
+        reader = _files(spark).schema(T.StructType(read)).option("header", True).option("enforceSchema", False)
+        rows = reader.csv(paths)
     columns = [_value(f) if text else F.col(f"`{f.name}`") for f, text in zip(fields, as_text, strict=True)]
     if counted:
         columns.append(_lost(fields).alias(_UNPARSED))
-    return reader.csv(paths).select(*columns)
+    return rows.select(*columns)
+
+
+def _lines_broken(spark: SparkSession, folder: str) -> bool:
+    """Whether a text of the folder's CSV files holds a line break: as noted when they were written, if nothing has come to
+    the folder since; else all lines are looked at."""
+    noted = _noted(commits.Files(spark, folder), folder)
+    return records.has_line_breaks(spark, folder) if noted is None else noted
+
+
+def _noted(known: commits.Files, folder: str) -> bool | None:
+    """The folder's note on line breaks, unless the folder has changed since it was made."""
+    path = f"{folder}/{_NOTE}"
+    if not known.exists(path):
+        return None
+    text = known.read(path)
+    files, size = known.summary(folder)
+    note = json.loads(text)
+    return note["broken"] if (files - 1, size - len(text)) == (note["files"], note["bytes"]) else None
 
 
 def _observed(df: DataFrame, unparsed: Observation | None) -> DataFrame:
@@ -97,7 +131,17 @@ def scan(
         return spark.read.schema(schema).format(fmt).load(folder)
     types = {f.name.lower(): f.dataType for f in schema}
     typed = [T.StructField(name, types.get(name.lower(), T.StringType())) for name in _header(spark, folder)]
-    return _observed(_csv(spark, typed, folder, unparsed is not None), unparsed)
+    return _observed(_csv(spark, typed, folder, unparsed is not None, _lines_broken(spark, folder)), unparsed)
+
+
+def scan_rejected(spark: SparkSession, folder: str, by: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
+    """The rows that write_routed() rejected, with the verdict in the text column ``by``. No folder, no rows."""
+    whole = T.StructType([*schema.fields, T.StructField(by, T.StringType())])
+    folder = commits.standing(spark, folder)
+    known = commits.Files(spark, folder)
+    verdicts = [name.partition("=")[2] for name in known.names(folder) if name.startswith(f"{by}=")]
+    parts = [scan(spark, f"{folder}/{by}={v}", schema, fmt).withColumn(by, F.lit(unquote(v))) for v in verdicts]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], whole)
 
 
 def scan_optional(spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "csv") -> DataFrame | None:
@@ -134,7 +178,11 @@ def scan_csv_variants(
     by = {}
     for r in found:
         by.setdefault(r["header"], []).append(r["file"])
-    parts = [_csv(spark, known[h].fields, folder if len(by) == 1 else files, unparsed is not None) for h, files in sorted(by.items())]
+    broken = _lines_broken(spark, folder)
+    parts = [
+        _csv(spark, known[h].fields, folder if len(by) == 1 else files, unparsed is not None, broken)
+        for h, files in sorted(by.items())
+    ]
     whole = _observed(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), unparsed)
     missing = [f for f in schema.fields if f.name not in whole.columns]
     whole = whole.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
@@ -158,12 +206,52 @@ def write(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite")
         commits.put(spark, target, folder)
 
 
-def _save(df: DataFrame, folder: str, fmt: str, mode: str) -> None:
-    writer = df.write.mode(mode)
+def write_routed(
+    df: DataFrame, by: str, verdicts: Sequence[str], accepted: str, rejected: str, fmt: str = "csv",
+) -> dict[str | None, int]:
+    """Write the rows whose text column ``by`` is NULL to one new folder and the others to a second one, partitioned by that
+    column, in one pass. Returns the rows of each verdict, NULL included, counted in the same pass.
+
+    The files do not hold the column. The first folder is there even if no row is accepted, the second only if one is rejected.
+    """
+    known, seen = commits.Files(df.sparkSession, rejected), Observation()
+    counts = [F.count_if(F.col(by).eqNullSafe(v)).alias(str(i)) for i, v in enumerate([None, *verdicts])]
+    broken = _save(df.observe(seen, *counts), rejected, fmt, "errorifexists", by)
+    found = {v: seen.get[str(i)] for i, v in enumerate([None, *verdicts])}
+    if not known.rename(f"{rejected}/{by}={_NO_VALUE}", accepted):
+        _save(df.drop(by).limit(0), accepted, fmt, "errorifexists")
+    if sum(found.values()) == found[None]:
+        known.delete(rejected)
     if fmt == "csv":
-        keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-        writer = writer.option("header", True).options(**keep)
-    writer.format(fmt).save(folder)
+        for folder in (accepted, rejected):
+            _note(known, folder, broken)
+    return {v: n for v, n in found.items() if n}
+
+
+def _save(df: DataFrame, folder: str, fmt: str, mode: str, by: str | None = None) -> bool:
+    """Write, partitioned by a column if one is given. Returns whether a CSV text holds a line break."""
+    if fmt != "csv":
+        (df.write if by is None else df.write.partitionBy(by)).mode(mode).format(fmt).save(folder)
+        return False
+    known, texts = commits.Files(df.sparkSession, folder), [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    before = _noted(known, folder) if mode == "append" and known.exists(folder) else False
+    breaks = reduce(or_, (F.col(f"`{name}`").rlike("[\n\r]") for name in texts), F.lit(False))
+    seen = Observation()
+    writer = df.observe(seen, F.count_if(breaks).alias("broken")).write
+    writer = writer if by is None else writer.partitionBy(by)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    writer.mode(mode).option("header", True).options(**keep).csv(folder)
+    broken = bool(seen.get["broken"])
+    _note(known, folder, None if before is None else before or broken)
+    return broken
+
+
+def _note(known: commits.Files, folder: str, broken: bool | None) -> None:
+    """Note on a folder whether its texts hold line breaks; None leaves it without a note."""
+    known.delete(f"{folder}/{_NOTE}")
+    if broken is not None and known.exists(folder):
+        files, size = known.summary(folder)
+        known.create(f"{folder}/{_NOTE}", json.dumps({"broken": broken, "files": files, "bytes": size}))
 
 
 def write_counted(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite") -> int:

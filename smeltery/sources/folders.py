@@ -45,6 +45,10 @@ class Zones:
     def silver_table(self, table: str, run_date: dt.date | str) -> str:
         return f"{self.silver}/silver_{table}/{day(run_date)}/{table}"
 
+    def rejected_table(self, table: str, run_date: dt.date | str) -> str:
+        """Rows of the day that did not reach silver."""
+        return f"{self.silver}/rejected_{table}/{day(run_date)}/{table}"
+
     def gold_table(self, table: str, run_date: dt.date | str) -> str:
         return f"{self.gold}/{MARTS[table]}/{day(run_date)}/{table}"
 

@@ -1,0 +1,134 @@
+"""CSV texts with line breaks, over blocks of every size, against Spark's reader of whole files and plain rows."""
+
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from smeltery.plans import jobs
+from smeltery.schemas import raw_schema
+from smeltery.sources import files, records
+from smeltery.sources.folders import Zones
+from tests.conftest import rows_of
+
+TEXTS = [
+    "plain", "a\nb", "a\rb", "a\r\nb", "\n", "x\\", "x\\\ny", 'q"n', 'q"\nn', '"', '""', '\\"', "a,b\n", "\r", 'tail\\"\n\\', " lead\n ", "", None,
+    "\n\n\n", ",\n,", '"\n"', "é\n日本", "x" * 300, "y\n" * 80, "\\\n\\", '",\n"', "\x00a", "id,t,u",
+]
+SCHEMA = "id long, t string, u string"
+
+
+@pytest.fixture(params=["16", "100", "1m"])
+def blocks(spark, request):
+    """Spark splits files into blocks of so many bytes."""
+    changed = {"spark.sql.files.maxPartitionBytes": request.param, "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield request.param
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_line_breaks_round_trip(spark, tmp_path, blocks):
+    rows = [(i, t, TEXTS[-1 - i]) for i, t in enumerate(TEXTS)] * 2
+    df = spark.createDataFrame(rows, SCHEMA)
+    files.write(df.repartition(3), str(tmp_path / "t"))
+    assert rows_of(files.scan(spark, str(tmp_path / "t"), SCHEMA)) == sorted(rows, key=repr)
+    assert rows_of(files.scan(spark, str(tmp_path / "t"), SCHEMA).filter("id < 4").select("u")) == sorted([(r[2],) for r in rows if r[0] < 4], key=repr)
+
+
+def test_foreign_files_need_no_note(spark, tmp_path, blocks):
+    """Files of several feeds, with \\n and \\r\\n, with blank lines, one ending inside a text."""
+    folder = tmp_path / "t"
+    folder.mkdir()
+    (folder / "a.csv").write_bytes(b'id,t,u\r\n1,"a\r\nb",x\r\n\r\n2,plain,"y"\r\n')
+    (folder / "b.csv").write_bytes('id,t,u\n3,"one ""\n4,é,\n \n"5","\n\n","5"" pipe"\n6,5" pipe,z'.encode())
+    (folder / "c.csv").write_bytes(b'id,t,u\n7,a,"never closed\n8,b,c\n')
+    whole = spark.read.option("multiLine", True).option("header", True).option("nullValue", "\x00").schema(SCHEMA).csv(str(folder)).filter("id IS NOT NULL")
+    found = files.scan(spark, str(folder), SCHEMA)  # which leaves blank lines out, as without line breaks
+    wanted = [(1, "a\r\nb", "x"), (2, "plain", "y"), (7, "a", "never closed\n8,b,c")]
+    assert [r for r in rows_of(found) if r[0] in (1, 2)] == wanted[:2]
+    assert sorted(r[0] for r in rows_of(found)) == sorted(r[0] for r in rows_of(whole))
+    # A reader of whole files takes \r\n inside a text for \n, where the file has it at the ends of records.
+    same = lambda rows: {r[0]: r[1:] for r in rows if r[0] not in (1, 7)}
+    assert same(rows_of(found)) == same(rows_of(whole))
+
+
+@pytest.fixture(scope="module")
+def scratch(tmp_path_factory):
+    return tmp_path_factory.mktemp("random")
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.text('ab",\\\n\r é', max_size=12), st.text('"\n,\\x', max_size=9)), min_size=1, max_size=25), st.integers(8, 90), st.integers(0, 10**9))
+def test_any_written_texts_come_back(spark, scratch, rows, size, name):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        rows = [(i, *r) for i, r in enumerate(rows)]
+        folder = str(scratch / f"{name}-{random.random()}")
+        files.write(spark.createDataFrame(rows, SCHEMA).coalesce(2), folder)
+        assert rows_of(files.scan(spark, folder, SCHEMA)) == sorted(rows, key=repr)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_large_file_is_read_by_several_tasks(spark, tmp_path):
+    df = spark.range(40_000).select("id", F.concat(F.lit("line one\nline two "), F.col("id")).alias("t"), F.lit("u").alias("u"))
+    files.write(df.coalesce(1), str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        found = files.scan(spark, str(tmp_path / "t"), SCHEMA)
+        assert records._lines(spark, str(tmp_path / "t")).rdd.getNumPartitions() >= 8
+        assert found.count() == 40_000 and found.exceptAll(df).isEmpty()
+        assert "multiLine" not in found._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_whole_lines_are_scanned_as_ever(spark, tmp_path, monkeypatch):
+    """The note spares the look at the lines; a file that comes later does not go unnoticed."""
+    folder = tmp_path / "t"
+    files.write(spark.createDataFrame([(1, 'say "a", b', "x\\")], SCHEMA), str(folder))
+    monkeypatch.setattr(records, "records", None)
+    looked = []
+    look = records.has_line_breaks
+    monkeypatch.setattr(records, "has_line_breaks", lambda *a: looked.append(a) or look(*a))
+    assert rows_of(files.scan(spark, str(folder), SCHEMA)) == [(1, 'say "a", b', "x\\")] and not looked
+    files.append(spark.createDataFrame([(2, "c", "d")], SCHEMA), str(folder))
+    assert files.scan(spark, str(folder), SCHEMA).count() == 2 and not looked
+    (folder / "late.csv").write_text('id,t,u\n3,"e, ""f",g\n')
+    assert files.scan(spark, str(folder), SCHEMA).count() == 3 and looked
+    monkeypatch.undo()
+    (folder / "later.csv").write_text('id,t,u\n4,"e\nf",g\n')
+    assert rows_of(files.scan(spark, str(folder), SCHEMA))[-1] == (4, "e\nf", "g")
+
+
+def test_a_strange_header_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,t,u\n1,"a\nb",c\n')
+    (tmp_path / "b.csv").write_text("id,u,t\n2,b,c\n")
+    with pytest.raises(Exception, match="header"):
+        files.scan(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_variants_with_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('customer_id,full_name,email,address,city,state\n1,"A\nB",e,"1 St\nApt 2",Rome,NY\n')
+    (tmp_path / "b.csv").write_text('customer_id,full_name,email,address,state\n2,C,e,"2 St",CA\n')
+    narrow = __import__("smeltery.schemas", fromlist=["x"]).customers_without_city()
+    found = files.scan_csv_variants(spark, str(tmp_path), raw_schema("customers"), [narrow])
+    assert rows_of(found) == [(1, "A\nB", "e", "1 St\nApt 2", "Rome", "NY"), (2, "C", "e", "2 St", None, "CA")]
+
+
+def test_line_breaks_through_all_layers_in_csv(spark, fixture_tables, tmp_path):
+    zones = Zones.under(str(tmp_path))
+    named = {**fixture_tables, "products": fixture_tables["products"].withColumn("product_name", F.concat(F.lit("two\n\"lines\", "), "product_name"))}
+    for name, df in named.items():
+        files.append(df.drop("timestamp"), zones.raw_day(name, "2025-02-20"))
+    jobs.run_day(spark, zones, "2025-02-20", layer_format="csv")
+    fact = files.scan(spark, zones.gold_table("fact_sales", "2025-02-20"), "order_id long, product_name string")
+    assert {r["product_name"] for r in fact.collect()} == {'two\n"lines", Product 1'}
+    assert fact.count() == 5
