@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 
 from smeltery.functions.draws import money, pick, whole
 from smeltery.schemas import TABLES, raw_schema
+from smeltery.sources.commits import Files
 from smeltery.sources.files import append, scan_optional
 from smeltery.sources.folders import Zones, as_run_date
 
@@ -27,6 +31,7 @@ FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2025, 1, 1)
 ROWS_PER_TABLE = 5000
 LAST_ID = 10000
 
+_LOOKS = 100  # at a reservation that is being written
 MARKS_SCHEMA = "table_name STRING, last_id BIGINT"
 
 
@@ -101,6 +106,41 @@ def allocate(marks: DataFrame | None, rows: int | Mapping[str, int] = ROWS_PER_T
     return Allocation(first, {table: first[table] + wanted[table] - 1 for table in TABLES})
 
 
+def reserve(
+    spark: SparkSession, marks_folder: str, rows: int | Mapping[str, int] = ROWS_PER_TABLE,
+) -> Allocation:
+    """Dense ids above the marks and above what other runs have reserved.
+
+    A range is reserved by creating the file that is named for its first id, which only one of several runs can do; the
+    others look again and take the ids after it.
+    """
+    marks = scan_optional(spark, marks_folder, MARKS_SCHEMA, "json")
+    wanted, known = allocate(marks, rows), Files(spark, marks_folder)
+    first, last = {}, {}
+    for table in TABLES:
+        count = wanted.last[table] - wanted.first[table]
+        first[table] = max(wanted.first[table], _reserved(known, marks_folder, table) + 1)
+        while not known.create(_claim(marks_folder, table, first[table]), str(first[table] + count)):
+            first[table] = max(first[table], _reserved(known, marks_folder, table) + 1)
+        last[table] = first[table] + count
+    return Allocation(first, last)
+
+
+def _claim(marks_folder: str, table: str, first: int) -> str:
+    return f"{marks_folder}/_reserved/{table}/{first:020d}"
+
+
+def _reserved(known: Files, marks_folder: str, table: str) -> int:
+    """The last id reserved of a table, 0 if none is."""
+    for _ in range(_LOOKS):
+        claims = known.names(f"{marks_folder}/_reserved/{table}")
+        text = known.read(f"{marks_folder}/_reserved/{table}/{claims[-1]}") if claims else "0"
+        if text:
+            return int(text)
+        time.sleep(0.05)  # its writer is between creating and filling it
+    raise OSError(f"the reservation {claims[-1]} of {table} in {marks_folder} was never filled: remove it")
+
+
 def batch(
     spark: SparkSession, allocation: Allocation, order_date: dt.date | None = None, seed: int = 0,
     tables: Sequence[str] = TABLES,
@@ -133,13 +173,21 @@ def run_batch(
 ) -> Allocation:
     """Append one generated batch to the raw day folders.
 
-    A table's mark is appended once the table is written, and the highest mark counts: a
-    failed run leaves no gap, and a repeated one does not hand out written ids again.
+    Its ids are reserved first, so that runs at the same time have ranges of their own. A table's mark is appended once the
+    table is written, and the highest mark counts. A run that fails gives back what it has not written: it leaves no
+    gap, unless another run has reserved ids after it, and a repeated one does not hand out written ids again.
     """
     run_date = as_run_date(run_date)
-    marks = scan_optional(spark, marks_folder, MARKS_SCHEMA, "json")
-    allocation = allocate(marks, rows)
-    for table, df in batch(spark, allocation, run_date, seed).items():
-        append(df, zones.raw_day(table, run_date))
-        append(spark.createDataFrame([(table, allocation.last[table])], MARKS_SCHEMA).coalesce(1), marks_folder, "json")
+    allocation = reserve(spark, marks_folder, rows)
+    known, left = Files(spark, marks_folder), set(TABLES)
+    try:
+        for table, df in batch(spark, allocation, run_date, seed).items():
+            append(df, zones.raw_day(table, run_date))
+            left.discard(table)
+            # A file of its own: two jobs that append to one folder would share its temporary files.
+            mark = json.dumps({"table_name": table, "last_id": allocation.last[table]})
+            known.create(f"{marks_folder}/mark-{uuid.uuid4().hex}.json", mark)
+    finally:
+        for table in left:
+            known.delete(_claim(marks_folder, table, allocation.first[table]))
     return allocation

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,3 +131,40 @@ def test_a_default_batch_gives_the_expected_share_of_gold_orders(spark):
     marks = spark.createDataFrame([(name, 25000) for name in TABLES], batches.MARKS_SCHEMA)
     raw = batches.batch(spark, batches.allocate(marks), DAY)
     assert 530 < to_gold(to_silver(to_bronze(raw)))["orders"].count() < 720
+
+
+def test_runs_at_the_same_time_reserve_disjoint_dense_ranges(spark, tmp_path):
+    marks = str(tmp_path / "marks")
+    files.write(spark.createDataFrame([(name, 100) for name in TABLES], batches.MARKS_SCHEMA), marks, "json")
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda k: batches.reserve(spark, marks, {name: k + 1 for name in TABLES}), range(8)))
+    for table in TABLES:
+        ids = sorted(i for a in got for i in range(a.first[table], a.last[table] + 1))
+        assert ids == list(range(101, 101 + sum(range(1, 9))))
+
+
+def test_two_batches_at_the_same_time(spark, tmp_path):
+    zones, marks = Zones.under(str(tmp_path)), str(tmp_path / "marks")
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda k: batches.run_batch(spark, zones, f"2025-02-2{k}", marks, 20), range(2)))
+    days = [files.scan(spark, zones.raw_day("orders", f"2025-02-2{k}"), raw_schema("orders")) for k in range(2)]
+    ids = sorted(r["order_id"] for df in days for r in df.collect())
+    assert ids == list(range(batches.LAST_ID + 1, batches.LAST_ID + 41))
+
+
+def test_a_failed_batch_gives_its_ids_back(spark, tmp_path, monkeypatch):
+    zones, marks = Zones.under(str(tmp_path)), str(tmp_path / "marks")
+    real = batches.append
+
+    def append(df, folder, fmt="csv"):
+        if "raw_orders" in folder:
+            raise OSError("disk full")
+        real(df, folder, fmt)
+
+    monkeypatch.setattr(batches, "append", append)
+    with pytest.raises(OSError, match="disk full"):
+        batches.run_batch(spark, zones, "2025-02-20", marks, 5)
+    monkeypatch.undo()
+    again = batches.run_batch(spark, zones, "2025-02-20", marks, 5)
+    start = batches.LAST_ID + 1
+    assert again.first == {"customers": start + 5, "products": start + 5, "orders": start, "order_items": start}
