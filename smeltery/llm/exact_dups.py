@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smeltery.llm.shared import SPACE, staged, text_or_empty
+from smeltery.llm.shared import SPACE, fresh, staged, text_or_empty
 
 BLOCK = 4096
 
@@ -91,9 +91,22 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha256").alias("text_sha256"))
 
 
-def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that exact_duplicates() marks kept. They are found by doc_id and text together, so
-    rows that share a doc_id but not their text are told apart."""
-    dropped = exact_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("dropped_id"), "text_sha256").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("dropped_id")) & (F.sha2(normalised(text_or_empty()), 256) == dropped["text_sha256"])
-    return docs.join(dropped, same, "left_anti")
+def without_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One row of docs, all columns, of each group of equal texts: one that exact_duplicates() marks kept.
+
+    Where several are, as they repeat a doc_id or have none, the one with the most code points stays, of equally long ones any
+    one by the hashes of all columns. Null and empty texts are one group; an empty table stays empty; columns may have any names.
+    """
+    of, found, digest = (fresh(docs, name) for name in ("dropped_id", "dropped_text", "digest"))
+    marked = exact_duplicates(docs, block)
+    dropped = marked.filter("NOT kept").select(F.col("doc_id").alias(of), F.col("text_sha256").alias(found)).distinct()
+    own = F.sha2(normalised(text_or_empty()), 256)
+    kept = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col(of)) & (own == F.col(found)), "left_anti")
+    repeated = marked.filter("kept").groupBy("text_sha256").count().filter("count > 1").select(F.col("text_sha256").alias(found))
+    if repeated.isEmpty():
+        return kept
+    kept = kept.withColumn(digest, own)
+    order = F.struct(F.length(text_or_empty()).alias("n"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)).alias("tie"))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    once = kept.join(repeated, F.col(digest) == F.col(found), "left_semi").groupBy(digest).agg(F.max_by(whole, order).alias("row"))
+    return kept.join(repeated, F.col(digest) == F.col(found), "left_anti").drop(digest).unionByName(once.select("row.*"))

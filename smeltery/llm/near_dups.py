@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm.components import components
-from smeltery.llm.shared import Hasher, chunks, lean, lowered, mixed, packed, staged, table, text_or_empty, unpacked, words_of
+from smeltery.llm.shared import Hasher, chunks, fresh, lean, lowered, mixed, packed, staged, table, text_or_empty, unpacked, words_of
 
 
 @dataclass(frozen=True)
@@ -294,6 +294,19 @@ def near_duplicates(docs: DataFrame, s: Settings = NEAR) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, s: Settings = NEAR) -> DataFrame:
-    """The rows of docs, all columns, whose document stays: one of each group, the one with the smallest doc_id."""
-    dropped = near_duplicates(docs, s).filter("NOT kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    """One row of docs, all columns, of each group of near duplicates: the one with the smallest doc_id.
+
+    Rows that share a doc_id, and rows without one, are documents of their own here: they are numbered in the order of their
+    ids, those without one last. Null and empty texts are in no group and all stay; an empty table stays empty; columns may
+    have any names.
+    """
+    odd = docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1")
+    number, of = fresh(docs, "number"), fresh(docs, "dropped_id")
+    if odd.isEmpty():
+        numbered = docs.withColumn(number, F.col("doc_id").cast("long"))
+    else:
+        order = [F.asc_nulls_last("doc_id"), F.xxhash64("text").asc()]
+        numbered = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+        numbered = staged(numbered.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    dropped = near_duplicates(numbered.select(F.col(number).alias("doc_id"), "text"), s).filter("NOT kept").select(F.col("doc_id").alias(of))
+    return numbered.join(dropped, F.col(number) == F.col(of), "left_anti").drop(number)

@@ -1,0 +1,147 @@
+"""The pipeline's stages, and its run, against plain versions."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from smeltery.llm import exact_dups, near_dups
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHING = "dropped_id long, digest string, number int, row string, rep string, `a.b` string, kept string"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", f"s{n % 3}", len(t or "")) for n, (i, t) in enumerate(rows)], SCHEMA)
+
+
+def clashing(docs):
+    names = [c.split()[0].strip("`") for c in CLASHING.split(", ")]
+    return docs.withColumns({n: F.lit("7") for n in names})
+
+
+def sentence(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+
+def odd_rows():
+    """Repeated rows, null ids, ids shared by different texts, copies but for white space, near copies, nulls, short texts."""
+    rng = random.Random(11)
+    base = [sentence(rng, 60) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    rows += [(3, base[3])] * 3 + [(None, base[4]), (None, base[4]), (None, base[5] + " \n"), (None, sentence(rng, 30))]
+    alone = sentence(rng, 40)
+    rows += [(None, alone), (None, alone), (None, f" {alone}  ")]
+    rows += [(20, "two texts"), (20, "under one id"), (21, None), (22, ""), (23, " \t"), (None, None), (24, "one")]
+    rows += [(30 + k, f"{base[0]} {sentence(rng, 2)}") for k in range(4)] + [(0, f"{base[0]} extra"), (None, f"{base[1]} end"), (None, f"{base[1]} more")]
+    return rows
+
+
+def plain(text):
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+def exact_groups(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(plain(t), []).append((i, t))
+    return groups
+
+
+def near_groups(rows, shingle=5, percent=80):
+    """Which rows stay: of each component the first by id, rows without one last."""
+    def shingles(t):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return {tuple(words[k : k + shingle]) for k in range(max(len(words) - shingle + 1, 1))} if words else set()
+
+    sets = [shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    empty = sum(1 for s in sets if not s)
+    return {g: [rows[k] for k in range(len(rows)) if group[k] == g and sets[k]] for g in set(group)}, empty
+
+
+def test_exact_stage_keeps_one_row_of_each_group(spark):
+    rows = odd_rows()
+    docs = clashing(documents(spark, rows))
+    kept = exact_dups.without_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    groups = exact_groups(rows)
+    assert len(got) == len(groups) and {plain(t) for _, t in got} == set(groups)
+    for i, t in got:
+        most = max(len(u or "") for _, u in groups[plain(t)])
+        best = [j for j, u in groups[plain(t)] if len(u or "") == most]
+        assert len(t or "") == most and i == (min(j for j in best if j is not None) if any(j is not None for j in best) else None)
+    assert exact_dups.without_duplicates(docs.filter("false")).count() == 0
+
+
+def test_near_stage_keeps_one_row_of_each_group(spark):
+    rows = odd_rows()
+    docs = clashing(documents(spark, rows))
+    kept = near_dups.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    groups, empty = near_groups(rows)
+    groups = [g for g in groups.values() if g]
+    assert len(got) == len(groups) + empty
+    for group in groups:
+        mine = [r for r in got if r in group]
+        ids = [i for i, _ in group if i is not None]
+        assert len(mine) == 1 and mine[0][0] == (min(ids) if ids else None)
+    plainly = documents(spark, [(k, t) for k, (_, t) in enumerate(rows)])
+    assert near_dups.without_near_duplicates(plainly).count() == len(got)
+    assert near_dups.without_near_duplicates(docs.filter("false")).count() == 0
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Odd documents, clean ones, and two that hold a benchmark passage."""
+    root, rng = tmp_path_factory.mktemp("pipeline"), random.Random(5)
+    item = sentence(rng, 20)
+    rows = [*odd_rows(), (100, f"{item} and more"), (101, f"so {sentence(rng, 400)} {item}"), (102, "123 — 456"), (103, "5 + 5 = 10")]
+    rows += [(200 + k, sentence(rng, 50)) for k in range(30)]
+    documents(spark, rows).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    return str(root), rows, item
+
+
+def contaminated(text, item):
+    words = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower())
+    mine, its = words(text), words(item)
+    windows = {tuple(its[k : k + 13]) for k in range(len(its) - 12)}
+    hit = {k + j for k in range(len(mine) - 12) if tuple(mine[k : k + 13]) in windows for j in range(13)}
+    return bool(hit) and 20 * len(hit) >= len(mine)
+
+
+def test_run_against_plain_stages(spark, folder):
+    root, rows, item = folder
+    got = corpus_pipeline.run(spark, root).collect()
+    rows = [(i, t) for i, t in rows if re.search(r"[^\W\d_]", t or "")]
+    groups = exact_groups(rows)
+    best = lambda g: max(g, key=lambda r: (len(r[1]), -r[0] if r[0] is not None else float("-inf")))
+    rows = [best(g) for g in groups.values()]
+    last = lambda g: min(g, key=lambda r: (r[0] is None, r[0] or 0))
+    near, empty = near_groups(rows)
+    assert not empty
+    ids = [last(g) for g in near.values() if g]
+    left = [(i, len(re.findall(r"[^\x20\x09-\x0D]+", t))) for i, t in ids if not contaminated(t, item)]
+    assert sorted(((r["doc_id"], r["size"]) for r in got), key=repr) == sorted(left, key=repr)
+    total, taken = sum(n for _, n in left), sum(r["taken"] for r in got)
+    assert all(r["taken"] <= 2 * r["size"] for r in got) and abs(taken - 1.5 * total) < 0.2 * total
+    again = corpus_pipeline.run(spark, root).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+
+
+def test_stages_return_the_columns_of_documents(spark, folder):
+    root, rows, _ = folder
+    docs = documents(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, root)
+        assert found.columns == docs.columns, name
