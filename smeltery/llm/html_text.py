@@ -41,14 +41,24 @@ DROPPED_NAMES = frozenset(
     "comment comments commentlist disqus replies reply respond related recommended recommendations widget toolbar search skip "
     "copyright legal tags".split()
 )
+# Words of a class or id name that say nothing of their own beside one of those.
+NEUTRAL_NAMES = frozenset(
+    "site page main global primary secondary top bottom left right inner outer wrapper wrap container content box block section area bar "
+    "list item items link links button buttons form icon icons panel column col row unit slot header head body title text post posts article "
+    "articles entry story user social media js the".split()
+)
+# Names under which much text is still no article.
+REMARKS = frozenset("comment comments commentlist disqus replies reply respond".split())
+TERSE = 15  # characters of a menu's entry, on average
 HOLDS_ARTICLE = frozenset("html body main article".split())
 
 _MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)""",
+    # A quote opens a quoted value only right after the equals sign; elsewhere in a tag it is a character like others.
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*(?:"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*+)(?:>|\Z)""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_NAME = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s"'>][^\s>]*)))?""")
+_NAME = re.compile(r"[a-z]+|[0-9]+")
 
 
 class Node:
@@ -120,7 +130,22 @@ def _attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(node.attributes)}
 
 
+def dropping_names(node: Node) -> set[str]:
+    """The words by which a node's class or id says that it is no part of an article: of names all of whose words do,
+    or say nothing, as `site-footer` and `ad_box_2`, but not `no-sidebar` or `modal-open`."""
+    if not node.attributes.strip() or node.tag in HOLDS_ARTICLE:
+        return set()
+    given = _attributes(node)
+    found: set[str] = set()
+    for name in f"{given.get('class', '')} {given.get('id', '')}".split():
+        words = {w for w in _NAME.findall(re.sub("([a-z])([A-Z])", r"\1 \2", name).lower()) if not w.isdigit()}
+        if words <= DROPPED_NAMES | NEUTRAL_NAMES:
+            found |= words & DROPPED_NAMES
+    return found
+
+
 def is_dropped(node: Node, in_article: bool) -> bool:
+    """Whether the element, its role or its style takes it out."""
     if node.tag in DROPPED or node.tag == "header" and not in_article:
         return True
     if not node.attributes.strip() or node.tag in HOLDS_ARTICLE:
@@ -128,24 +153,39 @@ def is_dropped(node: Node, in_article: bool) -> bool:
     given = _attributes(node)
     if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", "").lower()):
         return True
-    if given.get("role", "").lower() in DROPPED_ROLES or given.get("itemprop") == "comment":
-        return True
-    return not DROPPED_NAMES.isdisjoint(_NAME.findall(f"{given.get('class', '')} {given.get('id', '')}".lower()))
+    return given.get("role", "").lower() in DROPPED_ROLES or given.get("itemprop") == "comment"
 
 
-def pruned(root: Node) -> None:
-    """Takes out what is never part of an article."""
+def _without(root: Node, drop) -> None:
     stack = [(root, False)]
     while stack:
         node, inside = stack.pop()
-        kept = []
-        for child in node.children:
-            if isinstance(child, str):
-                kept.append(child)
-            elif not is_dropped(child, inside):
-                kept.append(child)
-                stack.append((child, inside or child.tag in ("article", "main")))
-        node.children = kept
+        node.children = [c for c in node.children if isinstance(c, str) or not drop(c, inside)]
+        stack += [(c, inside or c.tag in ("article", "main")) for c in node.children if not isinstance(c, str)]
+
+
+def pruned(root: Node) -> None:
+    """Takes out what is never part of an article: first by elements, then by names. Names do not count for a node that holds
+    more than half of the page's text outside links, unless they name readers' remarks or an article stands beside the node."""
+    _without(root, is_dropped)
+    articles = [n for n in measured(root) if n.tag in ("article", "main") and n.text]
+    half = (root.text - root.links) / 2
+
+    def beside(node: Node) -> bool:
+        return any(node not in above(a) for a in articles)
+
+    def above(node: Node | None) -> list[Node]:
+        found = []
+        while node is not None:
+            found.append(node)
+            node = node.parent
+        return found
+
+    def named(node: Node, inside: bool) -> bool:
+        names = dropping_names(node)
+        return bool(names) and (not REMARKS.isdisjoint(names) or node.text - node.links <= half or beside(node))
+
+    _without(root, named)
 
 
 def measured(root: Node) -> list[Node]:
@@ -221,8 +261,18 @@ def kept_nodes(nodes: list[Node]) -> list[Node]:
 
 
 def blocks(kept: list[Node]) -> Iterator[str]:
-    """Texts of the blocks, white space as one space, menus of links left out."""
+    """Texts of the blocks, white space as one space. Lists of nothing but links are left out, but for an article's own
+    whose entries are more than a word or two, as of sources."""
     parts: list[str] = []
+
+    def is_terse(node: Node) -> bool:
+        return node.text < TERSE * sum(not isinstance(c, str) and c.tag in ("li", "dt", "dd") for c in node.children)
+
+    def in_article(node: Node | None) -> bool:
+        while node is not None and node.tag not in ("article", "main"):
+            node = node.parent
+        return node is not None
+
     for top in kept:
         stack: list[Node | str | None] = [top, None]
         stack.reverse()
@@ -238,7 +288,7 @@ def blocks(kept: list[Node]) -> Iterator[str]:
                 parts.append(" ")
                 if item.tag == "hr":
                     stack.append(None)
-            elif item.tag in ("ul", "ol", "table", "dl") and item.links > 0.6 * item.text:
+            elif item.tag in ("ul", "ol", "dl") and item.links > 0.9 * item.text and (is_terse(item) or not in_article(item)):
                 stack.append(None)
             else:
                 inner = list(reversed(item.children))
