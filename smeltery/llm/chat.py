@@ -1,7 +1,8 @@
 """Chat formatting with schema fingerprints.
 
 The nested field paths of a table, hashed, select a declarative mapping that turns its layout (messages, prompt and
-response, instruction and output, or a row per turn) into canonical turns. Canonical turns are rendered with a template
+response, instruction and output, each with or without a system text, or a row per turn) into canonical turns. Where a table
+unites several layouts, the paths of the fields that a row has are hashed and select the mapping of that row. Canonical turns are rendered with a template
 in which no text can forge a control string, and read back from the rendered text alone. DataFrame functions only.
 """
 
@@ -9,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,39 +65,75 @@ def _with_input(question: str, more: str) -> Column:
     return F.when(_text(more) == "", _text(question)).otherwise(F.concat(_text(question), F.lit("\n\n"), _text(more)))
 
 
-# Layouts: paths of the fields that carry the turns, and their mapping to canonical turns.
-MAPPINGS: dict[tuple[str, ...], Callable[[], Column]] = {
-    ("messages[].role", "messages[].content"): lambda: _messages("messages", "role", "content", {}),
-    ("conversations[].from", "conversations[].value"): lambda: _messages("conversations", "from", "value", {"human": "user", "gpt": "assistant"}),
-    ("turns[].role", "turns[].text"): lambda: _messages("turns", "role", "text", {}),
-    ("prompt", "response"): lambda: _asked(_text("prompt"), "response"),
-    ("prompt", "completion"): lambda: _asked(_text("prompt"), "completion"),
-    ("instruction", "output"): lambda: _asked(_text("instruction"), "output"),
-    ("instruction", "input", "output"): lambda: _asked(_with_input("instruction", "input"), "output"),
-    ("system", "instruction", "output"): lambda: F.concat(F.array(_turn("system", _text("system"))), _asked(_text("instruction"), "output")),
-}
+def _mappings() -> dict[tuple[str, ...], Callable[[], Column]]:
+    """Layouts, each the paths of the fields that carry the turns, and their mappings to canonical turns."""
+    questions = {
+        ("prompt",): lambda: _text("prompt"), ("instruction",): lambda: _text("instruction"),
+        ("instruction", "input"): lambda: _with_input("instruction", "input"),
+    }
+    plain: dict[tuple[str, ...], Callable[[], Column]] = {
+        ("messages[].role", "messages[].content"): lambda: _messages("messages", "role", "content", {}),
+        ("conversations[].from", "conversations[].value"): lambda: _messages("conversations", "from", "value", {"human": "user", "gpt": "assistant"}),
+        ("turns[].role", "turns[].text"): lambda: _messages("turns", "role", "text", {}),
+    }
+    for paths, question in questions.items():
+        for answer in ("response", "completion", "output"):
+            plain[*paths, answer] = lambda question=question, answer=answer: _asked(question(), answer)
+    system = lambda make: F.concat(F.array(_turn("system", _text("system"))), make())
+    return plain | {("system", *paths): lambda make=make: system(make) for paths, make in plain.items()}
+
+
+MAPPINGS = _mappings()
 _BY_FINGERPRINT = {fingerprint(paths): make for paths, make in MAPPINGS.items()}
-_ROW_PER_TURN = fingerprint(("turn", "role", "text"))
+_ROW_PER_TURN = ("turn", "role", "text")
+
+
+def layouts(paths: set[str]) -> list[tuple[str, ...]]:
+    """The layouts whose fields are all among these paths, without those that lie within another one of them."""
+    whole = [p for p in [*MAPPINGS, _ROW_PER_TURN] if paths.issuperset(p)]
+    return [p for p in whole if not any(set(p) < set(q) for q in whole)]
+
+
+def _by_row(found: list[tuple[str, ...]]) -> Column:
+    """The turns of a row of a table of several layouts: by the fingerprint of the paths of those whose own fields the row has."""
+    parts = []
+    for layout in found:
+        shared = {path for other in found if other != layout for path in other}
+        own = {path.partition("[]")[0] for path in layout if path not in shared}
+        there = reduce(or_, (F.col(name).isNotNull() for name in sorted(own)))
+        parts.append(F.when(there, F.array(*map(F.lit, layout))).otherwise(F.array().cast("array<string>")))
+    given = F.array_sort(F.array_distinct(F.concat(*parts)))
+    given = F.when(F.size(given) == 0, F.array(*map(F.lit, sorted(found[0])))).otherwise(given)
+    code = F.sha2(F.array_join(given, "\n"), 256)
+    clash = F.concat(F.lit("a row has the fields of several layouts: "), F.array_join(given, ", "))
+    turns = F.raise_error(clash).cast(TURNS)
+    for layout in found:
+        turns = F.when(code == fingerprint(layout), _BY_FINGERPRINT[fingerprint(layout)]()).otherwise(turns)
+    return turns
 
 
 def canonical(rows: DataFrame, id_column: str = "conv_id") -> DataFrame:
     """One row per conversation: the id, and turns, an array of (role, text).
 
-    Columns whose paths are in no layout are left aside, so extra columns do not matter; a layout whose fields are all
-    there is selected by the fingerprint of those fields, the one with most fields if several are. Nulls count as empty
-    texts. Tables with a row per turn are gathered by id, a null id as one conversation; turns are in the order of turn (null first),
-    then role, then text, so that repeated and tied rows have an order too. No matching layout raises ValueError.
+    The fields that carry turns are those of the largest layouts that the table's paths hold; other columns are left aside.
+    The fingerprint of these fields selects the mapping. A table may unite layouts, such as messages in some rows and
+    prompt and response in others: then each row is mapped by the fields that it has, a row without any as the first
+    layout, and one that has fields of two at once raises, as no mapping would keep them all.
+
+    Nulls count as empty texts. Tables with a row per turn are gathered by id, a null id as one conversation; turns are in
+    the order of turn (null first), then role, then text, so that repeated and tied rows have an order too. No layout, and a row per
+    turn beside another layout, raise ValueError.
     """
     others = T.StructType([f for f in rows.schema.fields if f.name.lower() != id_column.lower()])
     paths = set(field_paths(others))
-    known = [p for p in [*MAPPINGS, ("turn", "role", "text")] if paths.issuperset(p)]
-    if not known:
-        raise ValueError(f"no mapping for the fields {sorted(paths)}")
-    chosen = fingerprint(max(known, key=len))
-    if chosen == _ROW_PER_TURN:
+    found = layouts(paths)
+    if not found or len(found) > 1 and _ROW_PER_TURN in found:
+        raise ValueError(f"no mapping for the fields {sorted(paths)}: layouts {found}")
+    if found == [_ROW_PER_TURN]:
         turns = F.sort_array(F.collect_list(F.struct(F.col("turn"), _text("role").alias("role"), _text("text").alias("text"))))
         return rows.groupBy(id_column).agg(turns.alias("turns")).select(id_column, F.transform("turns", lambda t: F.struct(t["role"], t["text"])).alias("turns"))
-    return rows.select(id_column, _BY_FINGERPRINT[chosen]().alias("turns"))
+    turns = _BY_FINGERPRINT[fingerprint(found[0])]() if len(found) == 1 else _by_row(found)
+    return rows.select(id_column, turns.alias("turns"))
 
 
 def escaped(text: Column, role: bool = False) -> Column:
@@ -134,7 +173,9 @@ def read_back(rendered: DataFrame) -> DataFrame:
         unescaped(F.substring_index(s, "\n", 1)).alias("role"),
         unescaped(F.substr(s, F.instr(s, "\n") + 1, F.length(s) - F.instr(s, "\n") - len(END))).alias("text"),
     )
-    parts = F.slice(F.split("formatted", r"<\|im_start\|>"), 2, F.greatest(F.size("turns"), F.lit(1)))
+    # What stands before the first mark, nothing, is no turn; all that follows a mark is one, however many went in.
+    parts = F.split("formatted", r"<\|im_start\|>")
+    parts = F.slice(parts, F.lit(2), F.size(parts))
     masked = F.transform("loss_mask", lambda r: unescaped(F.substr("formatted", r["start"] + 1, r["end"] - r["start"])))
     return rendered.withColumn("read", F.transform(parts, turn)).withColumn("loss_text", F.array_join(masked, ""))
 
