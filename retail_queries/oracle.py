@@ -207,7 +207,21 @@ _RULES = {
     for name, gates in _GATES.items()
 }
 
+_DAYS = {
+    "day_orders": """
+        SELECT *, CASE order_status WHEN 'PENDING' THEN DATE '2025-02-20' WHEN 'SHIPPED' THEN DATE '2025-02-19'
+          ELSE DATE '2025-02-21' END AS run_date FROM valid_orders""",
+    "day_items": """
+        SELECT *, CASE WHEN quantity > 33 THEN DATE '2025-02-20' WHEN quantity > 16 THEN DATE '2025-02-19'
+          ELSE DATE '2025-02-21' END AS run_date FROM silver_order_items""",
+}
+
 ORACLE |= {
+    "days_fact_sales": _sql("""
+        SELECT o.order_id, o.customer_id, o.order_date, oi.product_id, p.product_name, oi.quantity, oi.unit_price,
+          oi.quantity * oi.unit_price AS line_total, o.total_amount, o.run_date
+        FROM day_orders o JOIN day_items oi ON o.order_id = oi.order_id AND o.run_date = oi.run_date
+        JOIN silver_products p ON oi.product_id = p.product_id""", **_DAYS),
     "csv_line_breaks": _BREAKS,
     "medallion_line_breaks": _table("fact_sales", raw_products=_BREAKS),
     "csv_failed_overwrite_orders": _table("raw_orders"),

@@ -14,7 +14,7 @@ from smeltery.functions.rules import day_folder, line_total, run_day
 from smeltery.operators import sales
 from smeltery.operators.audit import row_counts
 from smeltery.operators.quality import REJECTED_BY
-from smeltery.plans import batches, jobs
+from smeltery.plans import batches, days, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import MARTS, SOURCE_SYSTEM, TABLES, customers_without_city, gold_schema, raw_schema, silver_schema
 from smeltery.session import new_folder
@@ -257,6 +257,25 @@ def medallion_line_breaks(spark, sf_dir):
     return files.scan(spark, zones.gold_table("fact_sales", RUN_DATE), gold_schema("fact_sales"))
 
 
+_DAY_OF = {
+    "orders": "CASE order_status WHEN 'PENDING' THEN '2025-02-20' WHEN 'SHIPPED' THEN '2025-02-19' ELSE '2025-02-21' END",
+    "order_items": "CASE WHEN quantity > 33 THEN '2025-02-20' WHEN quantity > 16 THEN '2025-02-19' ELSE '2025-02-21' END",
+}
+
+
+def days_fact_sales(spark, sf_dir):
+    """All orders and items dealt to three days, each with all customers and products, and the three days run at once."""
+    zones, dates = Zones.under(new_folder(spark, "zones")), ["2025-02-19", "2025-02-20", "2025-02-21"]
+    for table in TABLES:
+        df = _raw_files(spark, sf_dir, table)
+        for date in dates:
+            files.append(df.filter(F.expr(_DAY_OF[table]) == date) if table in _DAY_OF else df, zones.raw_day(table, date))
+    days.run_days(spark, zones, dates)
+    schema = gold_schema("fact_sales")
+    facts = (files.scan(spark, zones.gold_table("fact_sales", d), schema).withColumn("run_date", F.lit(d).cast("date")) for d in dates)
+    return reduce(DataFrame.unionAll, facts)
+
+
 # --- runs that fail, or have less than the last one --------------------------------------------
 
 
@@ -444,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "gold_csv_files_without_products": gold_csv_files_without_products,
     "csv_texts_kept": csv_texts_kept,
     "bronze_unparsed_counts": bronze_unparsed_counts,
+    "days_fact_sales": days_fact_sales,
     "csv_line_breaks": csv_line_breaks,
     "medallion_line_breaks": medallion_line_breaks,
     "csv_failed_overwrite_orders": csv_failed_overwrite_orders,

@@ -83,6 +83,6 @@ def drop_columns(df: DataFrame | None, *names: str) -> DataFrame | None:
     return None if df is None else df.drop(*names)
 
 
-def is_unique(df: DataFrame, column: str) -> bool:
-    """Whether no value of ``column`` occurs twice. Runs a job; counts are combined before the shuffle."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+def is_unique(df: DataFrame, *columns: str) -> bool:
+    """Whether no values of ``columns`` occur twice. Runs a job; counts are combined before the shuffle."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()

@@ -6,10 +6,15 @@ Spark decides from the sizes, and adaptive execution splits hot keys (see sessio
 
 ``keys_unique=True`` is a promise that customer ids and order ids are unique. The rows are
 then the same, but the reference checks become semi-joins and each item is joined once.
+
+``within`` names columns that all tables have, such as the day of many days' rows: rows only
+meet where these agree, and the columns stay in front.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from smeltery.functions.rules import is_active_order, line_total, positive
@@ -20,33 +25,41 @@ ITEM_COLUMNS = ("order_id", "product_id", "quantity", "unit_price")
 FACT_COLUMNS = tuple(gold_schema("fact_sales").names)
 
 
-def valid_orders(orders: DataFrame, customers: DataFrame, *, keys_unique: bool = False) -> DataFrame:
+def valid_orders(
+    orders: DataFrame, customers: DataFrame, *, keys_unique: bool = False, within: Sequence[str] = (),
+) -> DataFrame:
     """Orders whose customer is known."""
-    known = customers.select("customer_id")
-    return orders.join(known, "customer_id", "left_semi" if keys_unique else "inner").select(*ORDER_COLUMNS)
+    known = customers.select(*within, "customer_id")
+    how = "left_semi" if keys_unique else "inner"
+    return orders.join(known, [*within, "customer_id"], how).select(*within, *ORDER_COLUMNS)
 
 
-def valid_order_items(items: DataFrame, valid: DataFrame, *, keys_unique: bool = False) -> DataFrame:
+def valid_order_items(
+    items: DataFrame, valid: DataFrame, *, keys_unique: bool = False, within: Sequence[str] = (),
+) -> DataFrame:
     """Items whose order is valid."""
-    known = valid.select("order_id")
-    return items.select(*ITEM_COLUMNS).join(known, "order_id", "left_semi" if keys_unique else "inner")
+    known = valid.select(*within, "order_id")
+    how = "left_semi" if keys_unique else "inner"
+    return items.select(*within, *ITEM_COLUMNS).join(known, [*within, "order_id"], how)
 
 
-def order_lines(items: DataFrame, valid: DataFrame, *, keys_unique: bool = False) -> DataFrame:
+def order_lines(
+    items: DataFrame, valid: DataFrame, *, keys_unique: bool = False, within: Sequence[str] = (),
+) -> DataFrame:
     """Valid items next to the columns of their order.
 
     Both joins use order_id, so items are shuffled once. The fact and the active items
     are narrow steps (plus the product join) on top of this one table.
     """
     # Under unique order ids the join itself is the reference check.
-    lines = items.select(*ITEM_COLUMNS) if keys_unique else valid_order_items(items, valid)
-    return lines.join(valid, "order_id")
+    lines = items.select(*within, *ITEM_COLUMNS) if keys_unique else valid_order_items(items, valid, within=within)
+    return lines.join(valid, [*within, "order_id"])
 
 
-def fact_sales(lines: DataFrame, products: DataFrame) -> DataFrame:
+def fact_sales(lines: DataFrame, products: DataFrame, *, within: Sequence[str] = ()) -> DataFrame:
     """One row per order line with a known product, priced at the item's own price."""
-    named = lines.join(products.select("product_id", "product_name"), "product_id")
-    return named.withColumn("line_total", line_total()).select(*FACT_COLUMNS)
+    named = lines.join(products.select(*within, "product_id", "product_name"), [*within, "product_id"])
+    return named.withColumn("line_total", line_total()).select(*within, *FACT_COLUMNS)
 
 
 def active_orders(valid: DataFrame) -> DataFrame:

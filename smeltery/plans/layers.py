@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -43,7 +43,7 @@ def _unknown(valid_orders: DataFrame) -> bool:
 
 def to_gold(
     silver: Mapping[str, DataFrame | None], *, keys_unique: bool = False,
-    stage: Stage = _in_place, check: Check = _unknown,
+    stage: Stage = _in_place, check: Check = _unknown, within: Sequence[str] = (),
 ) -> dict[str, DataFrame | None]:
     """The five gold outputs; any silver table may be missing (None).
 
@@ -53,22 +53,23 @@ def to_gold(
 
     ``stage`` is called on the two tables that several outputs share and may return a
     written copy, so that their joins run once. ``check`` is asked whether the valid orders
-    are unique; if so, each item is joined once, as under ``keys_unique``.
+    are unique; if so, each item is joined once, as under ``keys_unique``. ``within`` names columns
+    in which rows must agree to be joined, such as the day when many are done at once.
     """
     customers, products, orders, items = (
         silver.get(name) for name in ("customers", "products", "orders", "order_items")
     )
     valid = orders
     if orders is not None and customers is not None:
-        valid = stage("valid_orders", sales.valid_orders(orders, customers, keys_unique=keys_unique))
+        valid = stage("valid_orders", sales.valid_orders(orders, customers, keys_unique=keys_unique, within=within))
 
     fact, gold_orders, gold_items = None, valid, items
     if valid is not None and items is not None:
         once = keys_unique or check(valid)
-        lines = stage("order_lines", sales.order_lines(items, valid, keys_unique=once))
+        lines = stage("order_lines", sales.order_lines(items, valid, keys_unique=once, within=within))
         gold_orders, gold_items = sales.active_orders(valid), sales.active_order_items(lines)
         if products is not None:
-            fact = sales.fact_sales(lines, products)
+            fact = sales.fact_sales(lines, products, within=within)
 
     outputs = {
         "fact_sales": fact, "customers": customers, "orders": gold_orders,

@@ -10,7 +10,7 @@ up to the files, so that a column the feed forgot is seen to be missing. Quoted
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 from urllib.parse import unquote
@@ -228,6 +228,19 @@ def write_routed(
     return {v: n for v, n in found.items() if n}
 
 
+def write_parts(df: DataFrame, by: str, folders: Mapping[str, str], staged: str, fmt: str = "csv") -> None:
+    """Write the rows of each value of the text column ``by`` to the new folder named for it, all in one job that writes to
+    ``staged`` first. The files do not hold the column; a value without rows gets an empty table."""
+    known = commits.Files(df.sparkSession, staged)
+    broken = _save(df, staged, fmt, "errorifexists", by)
+    for value, folder in folders.items():
+        if not known.rename(f"{staged}/{by}={value}", folder):
+            _save(df.drop(by).limit(0), folder, fmt, "errorifexists")
+        if fmt == "csv":
+            _note(known, folder, broken)
+    known.delete(staged)
+
+
 def _save(df: DataFrame, folder: str, fmt: str, mode: str, by: str | None = None) -> bool:
     """Write, partitioned by a column if one is given. Returns whether a CSV text holds a line break."""
     if fmt != "csv":
