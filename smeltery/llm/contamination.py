@@ -175,7 +175,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that are not contaminated."""
+    """The rows of docs, all columns, that are not contaminated. Null and empty texts stay, repeated rows are judged each; an
+    empty table, or an empty benchmark, changes nothing."""
     report = fresh(docs, "report")
     found = scanned(docs, benchmark, docs.columns, report)
     return found.filter(~is_contaminated(report)).drop(report)

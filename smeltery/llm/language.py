@@ -323,8 +323,8 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, whose text has a language, however sure the network is of it: one without letters
-    has none."""
+    """The rows of docs, all columns, whose text has a language, however sure the network is of it: one without letters,
+    null and empty ones too, has none. Repeated rows are judged each; an empty table stays empty."""
     label, score = fresh(docs, "label"), fresh(docs, "score")
     found = labelled(docs, train(docs), docs.columns, label, score)
     return found.filter(F.col(label) != "und").drop(label, score)
