@@ -107,18 +107,19 @@ def _counter(orders: Sequence[int], bits):
     """Counts of phrases of these lengths within each run of texts; with length 1 also of all words, as length 0."""
 
     def run(batches):
+        known = Bits(*bits.value) if bits is not None else None
         for whole in batches:
             for batch in slices(whole):
                 for lang, words in _by_language(batch, "text"):
                     n = len(words.codes)
                     found = [(0, pa.array([""], pa.large_string()), np.array([n]))] if 1 in orders else []
-                    may = bits.value.may_be(words.hashes(lang)) if bits is not None else None
+                    may = known.may_be(words.hashes(lang)) if known is not None else None
                     for order in orders:
                         starts = np.ones(max(n - order + 1, 0), bool)
                         for j in range(1, order):
                             starts &= words.goes_on[j : j + len(starts)]
                         if may is not None:
-                            for j in range(order - bits.value.order + 1):
+                            for j in range(order - known.order + 1):
                                 starts &= may[j : j + len(starts)]
                         found.append((order, *_phrases(words, order, np.flatnonzero(starts))))
                     for order, phrases, counts in found:
@@ -138,7 +139,10 @@ def _counted(docs: DataFrame, orders: Sequence[int], least: int, bits, name: str
 
 
 def _bits(counts: DataFrame, order: int):
-    """The table of bits of the counted phrases of one length, as a broadcast of at most MOST_BITS."""
+    """The table of bits of the counted phrases of one length, as a broadcast of at most MOST_BITS.
+
+    What is broadcast are the arguments of Bits: a broadcast's values are pickled by the names of their classes, which
+    executors without this library do not know."""
     phrases = counts.filter(F.col("order") == order).select("lang", "phrase")
     size = min(1 << max(BITS_EACH * phrases.count() - 1, 1 << 9).bit_length(), MOST_BITS)
 
@@ -152,7 +156,7 @@ def _bits(counts: DataFrame, order: int):
     cells = np.zeros(size // 64, np.int64)
     set_ = phrases.mapInArrow(lean(run), "cell long, bit long").groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
     cells[set_["cell"].to_numpy()] = set_["bits"].to_numpy()
-    return counts.sparkSession.sparkContext.broadcast(Bits(cells.view(np.uint64), order))
+    return counts.sparkSession.sparkContext.broadcast((cells.view(np.uint64), order))
 
 
 def phrase_counts(docs: DataFrame, longest: int = 4, least: int = 30) -> DataFrame:

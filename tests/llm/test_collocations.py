@@ -81,7 +81,7 @@ def test_no_rows(spark):
 def test_bits_never_say_no_to_a_frequent_phrase(spark):
     counts = co.phrase_counts(table(spark, odd_rows()), 2, 5)
     for order in (1, 2):
-        bits = co._bits(counts, order).value
+        bits = co.Bits(*co._bits(counts, order).value)
         frequent = [r for r in counts.collect() if r["order"] == order]
         assert frequent
         for r in frequent:
