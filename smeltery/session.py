@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -67,12 +67,12 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
 
 
 @contextmanager
-def tuned(spark: SparkSession, *input_paths: str) -> Iterator[None]:
-    """Apply :func:`tune` for the data under these folders while a job runs."""
-    size = stored_bytes(spark, *input_paths)
-    before = {key: spark.conf.get(key, None) for key in _settings(spark, size)}
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
     try:
-        tune(spark, size)
+        for key, value in values.items():
+            spark.conf.set(key, value)
         yield
     finally:
         for key, value in before.items():
@@ -82,6 +82,13 @@ def tuned(spark: SparkSession, *input_paths: str) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+@contextmanager
+def tuned(spark: SparkSession, *input_paths: str) -> Iterator[None]:
+    """Apply :func:`tune` for the data under these folders while a job runs."""
+    with settings(spark, _settings(spark, stored_bytes(spark, *input_paths))):
+        yield
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``, or else one under the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)

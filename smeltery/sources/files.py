@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.sources import commits, records
+from smeltery.sources import commits, headers, records
 
 # What stands for NULL besides an empty field: no text holds it, so that a quoted empty text stays a text.
 _NO_TEXT = "\x00"
@@ -160,24 +160,17 @@ def scan_csv_variants(
 ) -> DataFrame:
     """CSV files of which some lack columns of ``schema``, aligned by name; the columns a file lacks are NULL.
 
-    Each file is read by its own header, so any selection of columns is right. A pass over the folder finds the
-    headers; a file without one of them raises ValueError, but for folders in which no file has one: these are
+    Each file is read by its own header, so any selection of columns is right. Tasks read the first lines of the files to
+    find the headers; a file without one of them raises ValueError, but for folders in which no file has one: these are
     scanned as they are.
     """
     folder = commits.standing(spark, folder)
     known = {",".join(variant.names): variant for variant in (schema, *narrower)}
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
-    line = F.regexp_replace("value", r'["\ufeff\r]', "")
-    headers = lines.select(F.col("_metadata.file_path").alias("file"), F.when(line.isin(*known), line).alias("header"))
-    found = headers.groupBy("file").agg(F.max("header").alias("header"), F.countDistinct("header").alias("n")).collect()
-    strange = sorted(r["file"] for r in found if r["n"] != 1)
-    if len(strange) == len(found):
+    by = headers.files_by_header(spark, folder, list(known))
+    if set(by) <= {None}:
         return scan(spark, folder, schema, unparsed=unparsed)
-    if strange:
-        raise ValueError(f"unknown header in {strange[:3]}")
-    by = {}
-    for r in found:
-        by.setdefault(r["header"], []).append(r["file"])
+    if None in by:
+        raise ValueError(f"unknown header in {sorted(by[None])[:3]}")
     broken = _lines_broken(spark, folder)
     parts = [
         _csv(spark, known[h].fields, folder if len(by) == 1 else files, unparsed is not None, broken)
