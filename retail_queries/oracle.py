@@ -185,6 +185,9 @@ ORACLE: dict[str, str] = {
     "external_outputs": """
         SELECT o_orderkey AS order_id, o_totalprice AS amount FROM orders
         UNION ALL SELECT l_orderkey, l_extendedprice FROM lineitem""",
+    "external_year_folders": """
+        SELECT o_orderkey AS order_id, CAST(year(o_orderdate) AS VARCHAR) AS year
+        FROM orders WHERE year(o_orderdate) IN (1994, 1996)""",
     "id_high_water": _sql("SELECT table_name, last_id, last_id + 1 AS next_id FROM marks", **_MARKS),
 }
 

@@ -386,6 +386,22 @@ def external_outputs(spark, sf_dir):
     return results[0].unionAll(results[1])
 
 
+def external_year_folders(spark, sf_dir):
+    """Folders of years as partitions of a table whose older declaration had another column; two of the years are read."""
+    years = [str(year) for year in range(1992, 1999)]
+    name, root = f"years_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}", new_folder(spark, "years")
+    folders = {year: f"{root}/{year}" for year in years}
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    rows = orders.select(F.col("o_orderkey").alias("order_id"), F.year("o_orderdate").cast("string").alias("year"))
+    files.write_parts(rows.filter(F.col("year").isin(years)), "year", folders, f"{root}/staged", "parquet")
+    older = external.ExternalTable(EXTERNAL_DATABASE, name, "order_id INT, year STRING", f"{root}/older", None, ("year",))
+    table = external.ExternalTable(EXTERNAL_DATABASE, name, f"order_id {rows.schema['order_id'].dataType.simpleString()}, year STRING", root, None, ("year",))
+    external.register(spark, [older])
+    external.register(spark, [table], drifted="replace")
+    external.add_folders(spark, table, folders)
+    return spark.table(table.qualified).filter(F.col("year").isin("1994", "1996"))
+
+
 # --- id marks over the given tables ---------------------------------------------------------
 
 
@@ -472,5 +488,6 @@ QUERIES: dict[str, Query] = {
     "routed_silver_counts": routed_silver_counts,
     "external_customer": external_customer,
     "external_outputs": external_outputs,
+    "external_year_folders": external_year_folders,
     "id_high_water": id_high_water,
 }

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from smeltery.sources import files
-from smeltery.sources.external import STANDARD_COLUMNS, ExternalTable, export, register
+from smeltery.sources.external import STANDARD_COLUMNS, ExternalTable, add_folders, drift, export, register
 from tests.conftest import rows_of
 
 
@@ -69,3 +69,45 @@ def test_missing_config_key(tmp_path):
 def test_bad_type_raises(spark, tmp_path):
     with pytest.raises(AnalysisException):
         register(spark, [ExternalTable("shop", "bad", "a nonsense", str(tmp_path))])
+
+
+def test_drift_is_reported_raised_or_mended(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "old"))
+    spark.range(5).write.parquet(str(tmp_path / "new"))
+    old = ExternalTable("shop", "moved", "ID BIGINT", f"{tmp_path}//old/")
+    new = ExternalTable("shop", "moved", "id BIGINT, label STRING", str(tmp_path / "new"))
+    assert drift(spark, [old]) == []  # not registered yet
+    register(spark, [old])
+    assert drift(spark, [ExternalTable("shop", "moved", "id BIGINT", f"file:{tmp_path}/old")]) == []
+    assert [d.what for d in drift(spark, [new])] == ["columns", "location"]
+    assert drift(spark, [new])[0][2:] == ("id bigint, label string", "id bigint")
+    other = ExternalTable("shop", "never_declared", "a INT", str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="moved.*columns.*location"):
+        register(spark, [other, new], drifted="raise")
+    assert not spark.catalog.tableExists("shop.never_declared")
+    register(spark, [new])
+    assert spark.table("shop.moved").count() == 3
+    register(spark, [new], drifted="replace")
+    assert spark.table("shop.moved").count() == 5 and drift(spark, [new]) == []
+    register(spark, [new], drifted="raise")
+    assert spark.read.parquet(str(tmp_path / "old")).count() == 3
+
+
+def test_a_filter_on_days_reads_their_folders_only(spark, tmp_path):
+    days = {f"2025022{i}": str(tmp_path / f"2025022{i}" / "orders") for i in range(3)}
+    for i, folder in enumerate(days.values()):
+        spark.range(10 * i, 10 * i + 5).write.parquet(folder)
+    columns = [("day", "string"), ("id", "bigint")]
+    table = ExternalTable.from_config(entry("daily", columns, tmp_path / "root", partitioned_by=["day"]))
+    register(spark, [table])
+    assert drift(spark, [table]) == []
+    assert [d.what for d in drift(spark, [ExternalTable("shop", "daily", table.columns, table.location)])] == ["columns", "partitions"]
+    add_folders(spark, table, days)
+    found = spark.table(table.qualified)
+    assert found.columns == ["id", "day"] and found.count() == 15
+    one = found.filter("day = '20250221'")
+    assert rows_of(one) == [(i, "20250221") for i in range(10, 15)]
+    assert one.inputFiles() and all("/20250221/orders/" in name for name in one.inputFiles())
+    spark.range(7).write.parquet(str(tmp_path / "again"))
+    add_folders(spark, table, {"20250221": str(tmp_path / "again")})
+    assert spark.table(table.qualified).filter("day = '20250221'").count() == 7
