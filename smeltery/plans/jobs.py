@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from smeltery.operators.quality import REJECTED_BY, is_unique, verdicts
 from smeltery.plans.layers import to_bronze, to_gold, to_routed_silver, to_silver
 from smeltery.schemas import MARTS, SOURCE_SYSTEMS, TABLES, bronze_schema, customers_without_city, raw_schema, silver_schema
-from smeltery.session import new_folder, tuned
+from smeltery.session import key_filter, new_folder, settings, tuned
 from smeltery.sources import commits
 from smeltery.sources.files import (
     release, scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional, write_routed,
@@ -133,7 +134,8 @@ def run_gold(
 
     Valid orders and order lines are written once to the shared folder and read back by
     all outputs, so no join runs twice and a lost executor costs no recomputed joins. Once
-    valid orders are there, a look at their ids tells whether one join per item is enough. Each run
+    valid orders are there, their number sizes the Bloom filter that thins items before their shuffle, and a look at their ids
+    tells whether one join per item is enough. Each run
     has a folder of its own, so that overlapping runs of a day do not meet; it is removed also if a write fails.
     """
     folders = standing(spark, zones, "silver", run_date)
@@ -146,9 +148,14 @@ def run_gold(
     def stage(name: str, df: DataFrame) -> DataFrame:
         return staged(df, f"{work}/{name}")
 
-    with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)):
+    with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)), ExitStack() as filters:
+
+        def check(valid: DataFrame) -> bool:
+            filters.enter_context(settings(spark, key_filter(valid.count())))
+            return is_unique(valid, "order_id")
+
         try:
-            gold = to_gold(silver, stage=stage, check=lambda valid: is_unique(valid, "order_id"))
+            gold = to_gold(silver, stage=stage, check=check)
             finals = {name: zones.gold_table(name, run_date) for name in gold}
             with commits.replacing(spark, zones.log("gold", run_date), finals) as run:
                 written = together(spark, lambda name: write_optional(gold[name], run.folders[name], gold_format), gold)

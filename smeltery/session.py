@@ -89,6 +89,29 @@ def tuned(spark: SparkSession, *input_paths: str) -> Iterator[None]:
         yield
 
 
+# Keys that a Bloom filter is made for: at 8 bits each, tasks and executors hold up to 16 MB.
+_MOST_KEYS = 16_000_000
+_BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
+
+
+def key_filter(keys: int) -> dict[str, str]:
+    """Settings under which Spark filters the large side of a join by a Bloom filter of this many keys of the other side, before
+    it shuffles the large side; with more keys than a filter is made for, none."""
+    if keys > _MOST_KEYS:
+        return {f"{_BLOOM}.enabled": "false"}
+    keys = max(keys, 1000)
+    return {
+        f"{_BLOOM}.enabled": "true",
+        # The keys are counted, so the bytes of their columns, as Spark guesses them, need not bound the filter.
+        f"{_BLOOM}.creationSideThreshold": "10g",
+        f"{_BLOOM}.applicationSideScanSizeThreshold": "1g",
+        f"{_BLOOM}.expectedNumItems": str(keys),
+        f"{_BLOOM}.numBits": str(8 * keys),
+        f"{_BLOOM}.maxNumItems": str(_MOST_KEYS),
+        f"{_BLOOM}.maxNumBits": str(8 * _MOST_KEYS),
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``, or else one under the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)

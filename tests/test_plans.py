@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from smeltery.operators import sales
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import TABLES, raw_schema
+from smeltery.session import key_filter, settings
 from smeltery.sources import files
 
 
@@ -151,3 +152,44 @@ def test_split_joins_keep_every_row(hot, no_broadcast):
     ).first()
     assert (row[0], row[2]) == (items[0], items[2])
     assert row[1] == pytest.approx(items[1])
+
+
+def shuffled_rows(df) -> list[int]:
+    """Rows that each shuffle of a plan that has run has written."""
+    def of(plan):
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return of(plan.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return of(plan.plan())
+        mine = [plan.metrics().apply("shuffleRecordsWritten").value()] if name == "ShuffleExchangeExec" else []
+        children = plan.children()
+        return mine + [n for i in range(children.size()) for n in of(children.apply(i))]
+
+    df.toArrow()
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("once", [False, True])
+def test_items_without_a_valid_order_are_left_out_before_their_shuffle(spark, hot, no_broadcast, tmp_path, once):
+    valid = files.staged(hot["orders"].filter("order_id % 10 = 3 OR order_id = 7"), str(tmp_path / "valid"))
+    items, orders = hot["order_items"].count(), valid.count()
+    found = {}
+    for keys in (orders, 10**9):
+        values = key_filter(keys)
+        if keys == orders:
+            values["spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"] = "0"
+        with settings(spark, values):
+            lines = sales.order_lines(hot["order_items"], valid, keys_unique=once)
+            found[keys] = max(shuffled_rows(lines)), lines.agg(F.count("*"), F.sum("order_id"), F.sum("product_id")).first()
+    assert found[10**9][0] == items
+    left = found[orders][1][0]
+    assert left < found[orders][0] + 1 < 1.1 * left + 0.1 * items < 0.6 * items
+    assert found[orders][1] == found[10**9][1]
+
+
+def test_least_and_null_keys_join_as_ever(spark):
+    valid = spark.sql("SELECT id AS order_id, 1L AS customer_id, current_date() AS order_date, 1.5D AS total_amount, 'S' AS order_status FROM VALUES (-9223372036854775808L), (NULL), (5L) AS t(id)")
+    items = spark.sql("SELECT id AS order_id, 1L AS product_id, 1 AS quantity, 1.5D AS unit_price FROM VALUES (-9223372036854775808L), (NULL), (5L), (6L) AS t(id)")
+    for once in (False, True):
+        assert [r[0] for r in sales.order_lines(items, valid, keys_unique=once).select("order_id").orderBy("order_id").collect()] == [-(1 << 63), 5]
