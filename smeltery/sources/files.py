@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smeltery.session import settings
 from smeltery.sources import commits, headers, records
 
 # What stands for NULL besides an empty field: no text holds it, so that a quoted empty text stays a text.
@@ -199,6 +200,23 @@ def write(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite")
         commits.put(spark, target, folder)
 
 
+def write_sized(df: DataFrame, folder: str, file_bytes: int, fmt: str = "csv", mode: str = "overwrite") -> None:
+    """Write like :func:`write`, in files that are near a size, however many partitions ``df`` has and however uneven they are.
+
+    The rows are shuffled once, by no key, and adaptive execution joins small parts and splits large ones, so no task holds the
+    table. ``file_bytes`` counts shuffled bytes; files of a columnar format are smaller. For tables made of many tiny partitions:
+    others cost a shuffle for nothing. Not for several tables at a time, as the size is a setting of the session.
+    """
+    spark = df.sparkSession
+    values = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+    with settings(spark, values):
+        write(df.hint("rebalance"), folder, fmt, mode)
+
+
 def write_routed(
     df: DataFrame, by: str, verdicts: Sequence[str], accepted: str, rejected: str, fmt: str = "csv",
 ) -> dict[str | None, int]:

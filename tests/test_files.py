@@ -202,3 +202,21 @@ def test_empty_texts_are_not_null(spark, tmp_path):
     assert rows_of(found.filter("product_name = ''")) == [(1, "")]
     put(tmp_path / "raw", "a.csv", f'{ORDERS}"",,7,"",""\n')
     assert rows_of(files.scan(spark, str(tmp_path / "raw"), raw_schema("orders"))) == [(None, None, 7, None, "")]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+@pytest.mark.parametrize("shape", ["tiny", "one"])
+def test_files_near_a_size(spark, tmp_path, fmt, shape):
+    """300 tiny partitions, most of them empty, or all rows in one: files are alike, and no row is lost."""
+    rows = spark.range(0, 200_000, 1, 8).selectExpr("id AS product_id", "uuid(7) AS product_name")
+    rows = rows.repartition(300, F.col("product_id") % 100) if shape == "tiny" else rows.repartition(1)
+    files.write_sized(rows, str(tmp_path / "p"), 1 << 20, fmt)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "p").glob(f"*.{fmt}*") if not f.name.startswith("."))
+    assert 5 <= len(sizes) <= 24 and sizes[-1] < sum(sizes) / 3
+    found = files.scan(spark, str(tmp_path / "p"), rows.schema, fmt)
+    assert found.agg(F.count("*"), F.countDistinct("product_id", "product_name")).first()[:] == (200_000, 200_000)
+
+
+def test_sized_files_of_an_empty_table(spark, tmp_path):
+    files.write_sized(spark.range(0), str(tmp_path / "p"), 1 << 20, "parquet")
+    assert files.scan(spark, str(tmp_path / "p"), "id long", "parquet").count() == 0
