@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 # would keep the whole first join in one task.
 # Broadcasts are chosen by file size; the compression factor accounts for columns growing
 # in memory, so that only sides that really are small qualify.
-# A partition counts as skewed from twice the size that partitions are meant to have, at any input size.
+# A partition counts as skewed from 64 MB and twice the median, at any input size: that is what Spark cuts a skewed one down to
+# anyway, so a hot key's partition is not read whole by one task until it is larger.
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,7 +23,7 @@ _SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
 }
 
 _SHUFFLE_TARGET = 256 * 1024 * 1024
