@@ -1,4 +1,7 @@
-"""Layer jobs: read a day's folders, apply the layer, write the day's folders."""
+"""Layer jobs: read a day's folders, apply the layer, write the day's folders.
+
+Bronze and silver in CSV are packed: each of their rows carries a load time and bronze a label too, all alike. Gold is plain.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from smeltery.operators.quality import REJECTED_BY, is_unique, verdicts
 from smeltery.plans.layers import to_bronze, to_gold, to_routed_silver, to_silver
 from smeltery.schemas import MARTS, SOURCE_SYSTEMS, TABLES, bronze_schema, customers_without_city, raw_schema, silver_schema
-from smeltery.session import key_filter, new_folder, settings, tuned
+from smeltery.session import key_filter, layer_scans, new_folder, settings, tuned
 from smeltery.sources import commits
 from smeltery.sources.files import (
     release, scan, scan_csv_variants, scan_optional, staged, write, write_counted, write_optional, write_routed,
@@ -70,7 +73,7 @@ def land_bronze(
         bronze = to_bronze(read_raw(spark, zones, run_date, unparsed), ingested_at)
         finals = {name: zones.bronze_table(name, run_date) for name in TABLES}
         with commits.replacing(spark, zones.log("bronze", run_date), finals) as run:
-            written = together(spark, lambda name: write_counted(bronze[name], run.folders[name], layer_format), bronze)
+            written = together(spark, lambda name: write_counted(bronze[name], run.folders[name], layer_format, packed=True), bronze)
         return {
             SOURCE_SYSTEMS[name]: Landed(rows, unparsed[name].get["unparsed"] or 0) for name, rows in written.items()
         }
@@ -88,13 +91,13 @@ def run_bronze(
 def run_silver(spark: SparkSession, zones: Zones, run_date: dt.date | str, layer_format: str = "parquet") -> None:
     """All four bronze tables must be there; the four silver tables are replaced together."""
     folders = standing(spark, zones, "bronze", run_date)
-    with tuned(spark, *folders.values()):
+    with tuned(spark, *folders.values()), settings(spark, layer_scans(spark, layer_format)):
         silver = to_silver(
             {name: scan(spark, folder, bronze_schema(name), layer_format) for name, folder in folders.items()}
         )
         finals = {name: zones.silver_table(name, run_date) for name in TABLES}
         with commits.replacing(spark, zones.log("silver", run_date), finals) as run:
-            together(spark, lambda name: write(silver[name], run.folders[name], layer_format), silver)
+            together(spark, lambda name: write(silver[name], run.folders[name], layer_format, packed=True), silver)
 
 
 def run_routed_silver(
@@ -106,7 +109,7 @@ def run_routed_silver(
     accepted ones. A day's tables of both kinds are replaced together.
     """
     folders = standing(spark, zones, "bronze", run_date)
-    with tuned(spark, *folders.values()):
+    with tuned(spark, *folders.values()), settings(spark, layer_scans(spark, layer_format)):
         routed = to_routed_silver(
             {name: scan(spark, folder, bronze_schema(name), layer_format) for name, folder in folders.items()}
         )
@@ -115,7 +118,7 @@ def run_routed_silver(
 
         def write_one(name: str) -> dict[str | None, int]:
             where = run.folders[name], run.folders[f"rejected_{name}"]
-            return write_routed(routed[name], REJECTED_BY, verdicts(name), *where, layer_format)
+            return write_routed(routed[name], REJECTED_BY, verdicts(name), *where, layer_format, packed=True)
 
         with commits.replacing(spark, zones.log("silver", run_date), finals) as run:
             found = together(spark, write_one, routed)
@@ -149,6 +152,7 @@ def run_gold(
         return staged(df, f"{work}/{name}")
 
     with tuned(spark, *(folders[name] for name, df in silver.items() if df is not None)), ExitStack() as filters:
+        filters.enter_context(settings(spark, layer_scans(spark, layer_format)))
 
         def check(valid: DataFrame) -> bool:
             filters.enter_context(settings(spark, key_filter(valid.count())))

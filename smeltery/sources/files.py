@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from smeltery.session import settings
 from smeltery.sources import commits, headers, records
+from smeltery.sources.folders import CSV_FILES
 
 # What stands for NULL besides an empty field: no text holds it, so that a quoted empty text stays a text.
 _NO_TEXT = "\x00"
@@ -33,8 +34,8 @@ _NOTE = "_line_breaks"
 
 
 def _files(spark: SparkSession):
-    """Reader of the folder's ``*.csv`` files; the folder is listed once, whatever the number of files."""
-    return spark.read.option("pathGlobFilter", "*.csv").option("nullValue", _NO_TEXT)
+    """Reader of the folder's CSV files; the folder is listed once, whatever the number of files."""
+    return spark.read.option("pathGlobFilter", CSV_FILES).option("nullValue", _NO_TEXT)
 
 
 def _header(spark: SparkSession, folder: str) -> list[str]:
@@ -45,7 +46,7 @@ def _header(spark: SparkSession, folder: str) -> list[str]:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         # No such file, or only empty ones: the pattern as a path says which.
-        return spark.read.option("header", True).csv(f"{folder}/*.csv").columns
+        return spark.read.option("header", True).csv(f"{folder}/{CSV_FILES}").columns
 
 
 def _value(f: T.StructField) -> Column:
@@ -121,7 +122,7 @@ def scan(
 
     ``schema`` gives the CSV and JSON types by column name; CSV columns it does not name are
     text. CSV files whose headers differ from each other raise when read, and so does a
-    folder without any ``*.csv``. Parquet files bring their own types. ``unparsed`` counts CSV
+    folder without any ``*.csv`` or packed part. Parquet files bring their own types. ``unparsed`` counts CSV
     values that do not parse, in the pass of whoever uses the table.
     """
     folder = commits.standing(spark, folder)
@@ -183,16 +184,16 @@ def scan_csv_variants(
     return whole.select(*schema.names)
 
 
-def write(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite") -> None:
+def write(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite", packed: bool = False) -> None:
     """Replace the table in ``folder``, once the new one is whole: a write that fails leaves the old one, or none where
-    there was none. Files are as many as ``df`` has partitions."""
+    there was none. Files are as many as ``df`` has partitions; ``packed`` CSV files are gzip files, each read by one task."""
     if mode != "overwrite":
-        return _save(df, folder, fmt, mode)
+        return _save(df, folder, fmt, mode, packed=packed)
     spark = df.sparkSession
     known = commits.Files(spark, folder)
     target = commits.new_sibling(folder) if known.exists(commits.standing(spark, folder)) else folder
     try:
-        _save(df, target, fmt, "overwrite")
+        _save(df, target, fmt, "overwrite", packed=packed)
     except BaseException:
         known.delete(target)
         raise
@@ -218,7 +219,7 @@ def write_sized(df: DataFrame, folder: str, file_bytes: int, fmt: str = "csv", m
 
 
 def write_routed(
-    df: DataFrame, by: str, verdicts: Sequence[str], accepted: str, rejected: str, fmt: str = "csv",
+    df: DataFrame, by: str, verdicts: Sequence[str], accepted: str, rejected: str, fmt: str = "csv", packed: bool = False,
 ) -> dict[str | None, int]:
     """Write the rows whose text column ``by`` is NULL to one new folder and the others to a second one, partitioned by that
     column, in one pass. Returns the rows of each verdict, NULL included, counted in the same pass.
@@ -227,10 +228,10 @@ def write_routed(
     """
     known, seen = commits.Files(df.sparkSession, rejected), Observation()
     counts = [F.count_if(F.col(by).eqNullSafe(v)).alias(str(i)) for i, v in enumerate([None, *verdicts])]
-    broken = _save(df.observe(seen, *counts), rejected, fmt, "errorifexists", by)
+    broken = _save(df.observe(seen, *counts), rejected, fmt, "errorifexists", by, packed)
     found = {v: seen.get[str(i)] for i, v in enumerate([None, *verdicts])}
     if not known.rename(f"{rejected}/{by}={_NO_VALUE}", accepted):
-        _save(df.drop(by).limit(0), accepted, fmt, "errorifexists")
+        _save(df.drop(by).limit(0), accepted, fmt, "errorifexists", packed=packed)
     if sum(found.values()) == found[None]:
         known.delete(rejected)
     if fmt == "csv":
@@ -239,20 +240,22 @@ def write_routed(
     return {v: n for v, n in found.items() if n}
 
 
-def write_parts(df: DataFrame, by: str, folders: Mapping[str, str], staged: str, fmt: str = "csv") -> None:
+def write_parts(
+    df: DataFrame, by: str, folders: Mapping[str, str], staged: str, fmt: str = "csv", packed: bool = False,
+) -> None:
     """Write the rows of each value of the text column ``by`` to the new folder named for it, all in one job that writes to
     ``staged`` first. The files do not hold the column; a value without rows gets an empty table."""
     known = commits.Files(df.sparkSession, staged)
-    broken = _save(df, staged, fmt, "errorifexists", by)
+    broken = _save(df, staged, fmt, "errorifexists", by, packed)
     for value, folder in folders.items():
         if not known.rename(f"{staged}/{by}={value}", folder):
-            _save(df.drop(by).limit(0), folder, fmt, "errorifexists")
+            _save(df.drop(by).limit(0), folder, fmt, "errorifexists", packed=packed)
         if fmt == "csv":
             _note(known, folder, broken)
     known.delete(staged)
 
 
-def _save(df: DataFrame, folder: str, fmt: str, mode: str, by: str | None = None) -> bool:
+def _save(df: DataFrame, folder: str, fmt: str, mode: str, by: str | None = None, packed: bool = False) -> bool:
     """Write, partitioned by a column if one is given. Returns whether a CSV text holds a line break."""
     if fmt != "csv":
         (df.write if by is None else df.write.partitionBy(by)).mode(mode).format(fmt).save(folder)
@@ -264,7 +267,7 @@ def _save(df: DataFrame, folder: str, fmt: str, mode: str, by: str | None = None
     writer = df.observe(seen, F.count_if(breaks).alias("broken")).write
     writer = writer if by is None else writer.partitionBy(by)
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    writer.mode(mode).option("header", True).options(**keep).csv(folder)
+    writer.mode(mode).option("header", True).option("compression", "gzip" if packed else "none").options(**keep).csv(folder)
     broken = bool(seen.get["broken"])
     _note(known, folder, None if before is None else before or broken)
     return broken
@@ -278,10 +281,10 @@ def _note(known: commits.Files, folder: str, broken: bool | None) -> None:
         known.create(f"{folder}/{_NOTE}", json.dumps({"broken": broken, "files": files, "bytes": size}))
 
 
-def write_counted(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite") -> int:
+def write_counted(df: DataFrame, folder: str, fmt: str = "csv", mode: str = "overwrite", packed: bool = False) -> int:
     """Write and return the number of rows written, counted during the same pass."""
     counted = Observation()
-    write(df.observe(counted, F.count(F.lit(1)).alias("row_count")), folder, fmt, mode)
+    write(df.observe(counted, F.count(F.lit(1)).alias("row_count")), folder, fmt, mode, packed)
     return counted.get["row_count"]
 
 

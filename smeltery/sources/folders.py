@@ -8,6 +8,9 @@ from dataclasses import dataclass
 
 from smeltery.schemas import MARTS
 
+# The CSV files of a folder: those of a feed, and those that this library has written, packed ones too.
+CSV_FILES = "{*.csv,part-*.csv.gz}"
+
 
 def as_run_date(value: dt.date | str) -> dt.date:
     """One run date for every layer; text must be a valid ``YYYY-MM-DD``."""

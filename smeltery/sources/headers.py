@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.session import settings
+from smeltery.sources.folders import CSV_FILES
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -55,9 +56,9 @@ def _first_lines(alone: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def first_lines(spark: SparkSession, folder: str, large: bool) -> DataFrame:
-    """(file, line): the first line of each ``*.csv`` file of the folder that is beyond SMALL bytes, or of each that is not.
+    """(file, line): the first line of each CSV file of the folder that is beyond SMALL bytes, or of each that is not.
     The byte order mark, quotes and carriage returns are taken out. Files without a line have no row."""
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    lines = spark.read.option("pathGlobFilter", CSV_FILES).text(folder)
     lines = lines.filter(F.col("_metadata.file_size") > SMALL if large else F.col("_metadata.file_size") <= SMALL)
     columns = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line")]
     if large:

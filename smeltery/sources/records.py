@@ -1,6 +1,6 @@
 """CSV records whose quoted texts hold line breaks, read by many tasks a file.
 
-A file is read as lines, in blocks as Spark splits it. At the end of a line the reader is either between two records or inside
+A file is read as lines, in blocks as Spark splits it; a packed file is one block. At the end of a line the reader is either between two records or inside
 a quoted text, so a line is a map from the one of these two states at its start to that at its end, and so is a block. One pass
 over the lines that hold quotes gives each block's map; running over the blocks of a file gives the state in which each
 starts. Knowing that, a task puts its lines together to records on its own. What lies before the first end of a record in
@@ -26,6 +26,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from smeltery.sources.folders import CSV_FILES
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _REST_OF_TEXT = r'[^"\\]*+(?:\\(?:.|$)[^"\\]*+)*+"'  # up to its closing quote
@@ -51,12 +53,12 @@ def has_line_breaks(spark: SparkSession, paths: str | list[str]) -> bool:
                 return
 
     # Lines as Spark's own reader has them, which ends lines at \r too. While none of them ends inside a text, each starts between records.
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(paths)
+    lines = spark.read.option("pathGlobFilter", CSV_FILES).text(paths)
     return not lines.filter(F.contains("value", F.lit('"'))).mapInArrow(run, "broken boolean").isEmpty()
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    lines = spark.read.option("pathGlobFilter", "*.csv").option("lineSep", "\n").text(paths)
+    lines = spark.read.option("pathGlobFilter", CSV_FILES).option("lineSep", "\n").text(paths)
     return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 

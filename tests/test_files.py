@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import shutil
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -220,3 +221,16 @@ def test_files_near_a_size(spark, tmp_path, fmt, shape):
 def test_sized_files_of_an_empty_table(spark, tmp_path):
     files.write_sized(spark.range(0), str(tmp_path / "p"), 1 << 20, "parquet")
     assert files.scan(spark, str(tmp_path / "p"), "id long", "parquet").count() == 0
+
+
+def test_packed_parts_are_read_with_plain_ones_and_other_gzip_files_are_not(spark, tmp_path):
+    rows, folder = spark.createDataFrame([(1, "a\nb"), (2, "")], "id INT, t STRING").coalesce(1), str(tmp_path / "t")
+    files.write(rows, folder, packed=True)
+    assert [p.name[-7:] for p in (tmp_path / "t").glob("part-*")] == [".csv.gz"]
+    files.append(rows, folder)
+    shutil.copy(next((tmp_path / "t").glob("part-*.gz")), tmp_path / "t" / "delivered.csv.gz")
+    for _ in range(2):
+        assert rows_of(files.scan(spark, folder, "id INT")) == [(1, "a\nb")] * 2 + [(2, "")] * 2
+        (tmp_path / "t" / "_line_breaks").unlink(missing_ok=True)
+    files.write(rows.limit(0), folder, packed=True)
+    assert files.scan_optional(spark, folder, "id INT").columns == ["id", "t"]

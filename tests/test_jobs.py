@@ -9,6 +9,7 @@ from smeltery.operators.sales import FACT_COLUMNS
 from smeltery.plans import batches, jobs
 from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import TABLES, bronze_schema, gold_schema, raw_schema, silver_schema
+from smeltery.session import stored_bytes
 from smeltery.sources import files
 from smeltery.sources.folders import Zones
 from tests.conftest import rows_of
@@ -54,6 +55,31 @@ def test_day_end_to_end(spark, landed, tmp_path, layer_format, gold_format):
         assert stored.count() > 0, name
 
 
+def test_csv_layers_take_less_room_than_the_raw_files(spark, tmp_path):
+    """Bronze and silver add a load time to each row, and bronze a label: unpacked they are larger than raw."""
+    zones, n = Zones.under(str(tmp_path)), 4000
+    rows = {
+        "customers": [
+            "id AS customer_id", "concat('C ', id) AS full_name", "concat(id, '@x') AS email", "'1 St' AS address", "'Rome' AS city", "'NY' AS state",
+        ],
+        "products": [
+            "id AS product_id", "IF(id = 7, 'two\\nlines', concat('P ', id)) AS product_name", "'Sports' AS category", "id + 0.5D AS price",
+        ],
+        "orders": [
+            "id AS order_id", "DATE '2025-02-20' AS order_date", "id AS customer_id", "id + 1.5D AS total_amount", "'SHIPPED' AS order_status",
+        ],
+        "order_items": ["id AS order_item_id", "id AS order_id", "id AS product_id", "2 AS quantity", "id + 1.5D AS unit_price"],
+    }
+    for name, columns in rows.items():
+        files.append(spark.range(0, n, 1, 2).selectExpr(*columns), zones.raw_day(name, DAY))
+    jobs.run_day(spark, zones, DAY, layer_format="csv")
+    size = {zone: stored_bytes(spark, getattr(zones, zone)) for zone in ("raw", "bronze", "silver")}
+    assert size["bronze"] < size["raw"] / 2 and size["silver"] < size["raw"] / 2, size
+    assert rows_of(files.scan(spark, zones.gold_table("fact_sales", DAY), gold_schema("fact_sales"))) == rows_of(expected(spark, zones)["fact_sales"])
+    assert jobs.run_routed_silver(spark, zones, DAY, "csv") == {name: {None: n} for name in TABLES}
+    assert stored_bytes(spark, zones.silver) < size["raw"] / 2
+
+
 def test_gold_file_header(spark, landed, tmp_path):
     own = Zones.under(str(tmp_path))
     zones = Zones(landed.raw, own.bronze, own.silver, own.gold)
