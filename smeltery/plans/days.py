@@ -20,7 +20,7 @@ from smeltery.plans.layers import to_bronze, to_gold, to_silver
 from smeltery.schemas import MARTS, TABLES, bronze_schema, silver_schema
 from smeltery.session import new_folder, tuned
 from smeltery.sources import commits
-from smeltery.sources.files import release, scan, staged, write_parts
+from smeltery.sources.files import PACKED_CSV, release, scan, staged, write_parts
 from smeltery.sources.folders import Zones, day
 
 DAY = "__day"
@@ -36,7 +36,7 @@ def of_days(days: Iterable[str], read: Read) -> dict[str, DataFrame]:
 
 def _replace(
     spark: SparkSession, zones: Zones, layer: str, days: Iterable[str], tables: Mapping[str, DataFrame],
-    place: Callable[[str, dt.date], str], fmt: str, work: str, packed: bool = False,
+    place: Callable[[str, dt.date], str], fmt: str, work: str,
 ) -> None:
     """Write each table once, and let the folders of every day take the places of its old ones."""
     dates = {one: dt.datetime.strptime(one, "%Y%m%d").date() for one in days}
@@ -50,7 +50,7 @@ def _replace(
         together(
             spark,
             lambda name: write_parts(
-                tables[name], DAY, {one: run.folders[name] for one, run in runs.items()}, f"{work}/{layer}/{name}", fmt, packed
+                tables[name], DAY, {one: run.folders[name] for one, run in runs.items()}, f"{work}/{layer}/{name}", fmt
             ),
             tables,
         )
@@ -69,6 +69,7 @@ def run_days(
     days = sorted({day(one) for one in run_dates})
     as_date = {one: f"{one[:4]}-{one[4:6]}-{one[6:]}" for one in days}
     work = new_folder(spark, "days")
+    layer_files = PACKED_CSV if layer_format == "csv" else layer_format
 
     def stored(layer: str, schema: Callable[[str], object]) -> Read:
         def read(one: str) -> dict[str, DataFrame]:
@@ -80,9 +81,9 @@ def run_days(
     with tuned(spark, *(zones.raw_day(name, as_date[one]) for name in TABLES for one in days)):
         try:
             raw = of_days(days, lambda one: read_raw(spark, zones, as_date[one]))
-            _replace(spark, zones, "bronze", days, to_bronze(raw, ingested_at), zones.bronze_table, layer_format, work, packed=True)
+            _replace(spark, zones, "bronze", days, to_bronze(raw, ingested_at), zones.bronze_table, layer_files, work)
             silver = to_silver(of_days(days, stored("bronze", bronze_schema)))
-            _replace(spark, zones, "silver", days, silver, zones.silver_table, layer_format, work, packed=True)
+            _replace(spark, zones, "silver", days, silver, zones.silver_table, layer_files, work)
             gold = to_gold(
                 of_days(days, stored("silver", silver_schema)), within=[DAY],
                 stage=lambda name, df: staged(df, f"{work}/{name}"), check=lambda valid: is_unique(valid, DAY, "order_id"),

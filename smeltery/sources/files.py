@@ -31,6 +31,7 @@ _UNPARSED = "__unparsed"
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Beside the files of a written CSV table: whether their texts hold line breaks. Scans pass over it.
 _NOTE = "_line_breaks"
+PACKED_CSV = "csv.gz"
 
 
 def _files(spark: SparkSession):
@@ -240,11 +241,12 @@ def write_routed(
     return {v: n for v, n in found.items() if n}
 
 
-def write_parts(
-    df: DataFrame, by: str, folders: Mapping[str, str], staged: str, fmt: str = "csv", packed: bool = False,
-) -> None:
+def write_parts(df: DataFrame, by: str, folders: Mapping[str, str], staged: str, fmt: str = "csv") -> None:
     """Write the rows of each value of the text column ``by`` to the new folder named for it, all in one job that writes to
-    ``staged`` first. The files do not hold the column; a value without rows gets an empty table."""
+    ``staged`` first. The files do not hold the column; a value without rows gets an empty table.
+    The format PACKED_CSV is CSV in gzip files."""
+    packed = fmt == PACKED_CSV
+    fmt = "csv" if packed else fmt
     known = commits.Files(df.sparkSession, staged)
     broken = _save(df, staged, fmt, "errorifexists", by, packed)
     for value, folder in folders.items():
