@@ -169,6 +169,22 @@ def test_a_hot_order_of_less_than_256_mb_is_split(spark, tmp_path):
         assert lines.first()[:2] == (6_000_000, sum(range(50)) * 120_000)
 
 
+def test_a_hot_order_is_split_in_both_order_joins(spark, tmp_path):
+    """As hot_active_order_items joins it, without a promise of unique keys: the rows of the first join are dealt anew, and split again."""
+    spark.range(0, 6_000_000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, id % 100000, 7) AS order_id", "xxhash64(id) AS product_id", "CAST(id % 50 AS INT) AS quantity", "rand(1) AS unit_price"
+    ).write.parquet(str(tmp_path / "items"))
+    valid = spark.range(100_000).selectExpr(
+        "id AS order_id", "id AS customer_id", "DATE '2025-01-01' AS order_date", "id + 1.5D AS total_amount", "'SHIPPED' AS order_status"
+    )
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    with settings(spark, values):
+        active = sales.active_order_items(sales.order_lines(spark.read.parquet(str(tmp_path / "items")), valid))
+        found = active.agg(F.count("*"), F.sum("quantity"), F.max("product_id"), F.max("unit_price"))
+        assert re.findall(r"SortMergeJoin(\(skew=true\))? \[(\w+)_id", final_plan(found)) == [("(skew=true)", "order")] * 2
+        assert found.first()[:2] == (5_880_000, sum(range(50)) * 120_000)
+
+
 def shuffled_rows(df) -> list[int]:
     """Rows that each shuffle of a plan that has run has written."""
     def of(plan):
